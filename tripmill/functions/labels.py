@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from tripmill.schemas import PAYMENT_CASE_LABELS, VENDOR_NAMES
 
@@ -44,7 +44,7 @@ def base_id(base_num: Column | str) -> Column:
                   F.concat(prefix, F.lit("/"), F.format_string("%03x", number)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def base_id_udf(base_num: pd.Series) -> pd.Series:
     """The same rule as a vectorised function, for callers that need a registered UDF."""
     number = pd.to_numeric(base_num.str[1:], errors="coerce")

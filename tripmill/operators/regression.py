@@ -15,6 +15,7 @@ from pyspark.ml.tuning import TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, functions as F
 
 from tripmill.functions.exact import exact_avg
+from tripmill.functions.keys import number_text
 
 # Feature columns, label and the text that stands for a null category.
 NUMERIC = ["passenger_count", "trip_distance", "fare_amount", "tolls_amount"]
@@ -82,7 +83,9 @@ def split(rows: DataFrame, held_out: float) -> DataFrame:
     The same row always lands on the same side, on any cluster and after any task retry.
     """
     bound = f"{int(held_out * 16 ** 8):08x}"
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
+    fields = [number_text(c) if kind == "double" else F.col(c).cast("string")
+              for c, kind in rows.dtypes]
+    text = F.concat_ws("|", *[F.coalesce(f, F.lit("")) for f in fields])
     return rows.withColumn("is_eval", F.substring(F.md5(text), 1, 8) < F.lit(bound))
 
 

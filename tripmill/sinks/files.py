@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from tripmill import schemas
-from tripmill.sources.files import csv_typed, path_exists
+from tripmill.sources.files import csv_typed, month_path, path_exists
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -34,30 +34,38 @@ def single_file(report: DataFrame, path: str) -> None:
     report.repartition(1).write.mode("overwrite").parquet(path)
 
 
+# Raw directory of one service and month, and how to read year and month from it.
+RAW_MONTH = "{service}/{year}/{month:02d}"
+RAW_MONTH_PATTERN = r"/(\d{4})/(\d{2})/[^/]*$"
+
+
 def csv_months_to_parquet(spark: SparkSession, raw_root: str, out_root: str, service: str,
-                          months: Sequence[tuple[int, int]]) -> list[str]:
+                          months: Sequence[tuple[int, int]], template: str = RAW_MONTH,
+                          pattern: str = RAW_MONTH_PATTERN) -> list[str]:
     """Convert month directories of CSV to Parquet partitions, skipping those already there.
 
     All missing months are converted by one job. Rows are gathered by month, and adaptive
     rebalancing splits a large month over several tasks and files. Returns the converted months.
     """
-    done = {
-        (y, m) for y, m in months
-        if path_exists(spark, f"{out_root}/service_type={service}/year={y}/month={m}")}
-    todo = [ym for ym in months if ym not in done
-            and path_exists(spark, f"{raw_root}/{service}/{ym[0]}/{ym[1]:02d}")]
+    todo = {}
+    for year, month in months:
+        raw = month_path(raw_root, service, year, month, template)
+        done = f"{out_root}/service_type={service}/year={year}/month={month}"
+        if path_exists(spark, raw) and not path_exists(spark, done):
+            todo[f"{year}-{month:02d}"] = raw
     if not todo:
         return []
-    paths = [f"{raw_root}/{service}/{y}/{m:02d}" for y, m in todo]
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/(\d{2})/[^/]*$", 1)
-    folder_month = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/(\d{2})/[^/]*$", 2)
-    raw = csv_typed(spark, paths, schemas.RAW[service])
-    dated = raw.select("*", F.lit(service).alias("service_type"),
-                       folder.cast("int").alias("year"), folder_month.cast("int").alias("month"))
+
+    def from_path(group: int) -> Column:
+        return F.regexp_extract(F.col("_metadata.file_path"), pattern, group).cast("int")
+
+    dated = csv_typed(spark, list(todo.values()), schemas.RAW[service]).select(
+        "*", F.lit(service).alias("service_type"), from_path(1).alias("year"),
+        from_path(2).alias("month"))
     keys = ["service_type", "year", "month"]
     (dated.hint("rebalance", *keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(out_root))
-    return [f"{y}-{m:02d}" for y, m in todo]
+    return list(todo)
 
 
 def json_fields(df: DataFrame, columns: Sequence[str], path: str) -> None:

@@ -123,19 +123,55 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("if(n_nationkey % 2 = 0, 'Yellow Zone', 'Boro Zone')").alias("service_zone"))
 
 
-def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ride events with the pickup instant as epoch milliseconds."""
-    return table(spark, sf_dir, "events").select(*[c.alias(n) for n, c in _ride_values().items()])
+_RIDE_START = "cast(date_trunc('second', ts) as timestamp)"
+_RIDE_VALUES = {
+    "VendorID": "cast(nullif(user_id % 5, 0) as int)",
+    "pickup_datetime": _RIDE_START,
+    "dropoff_datetime": (f"timestampadd(SECOND, cast(60 + (event_id * 31) % 5400 as int), "
+                         f"{_RIDE_START})"),
+    "passenger_count": "cast(event_id % 7 as int)",
+    "trip_distance": "(event_id % 200) / 10",
+    "RatecodeID": "cast(event_id % 6 + 1 as int)",
+    "store_and_fwd_flag": "if(event_type = 'error', 'Y', 'N')",
+    "PULocationID": "cast(user_id % 27 as int)",
+    "DOLocationID": "cast(event_id % 27 as int)",
+    "payment_type": "cast(nullif(event_id % 8, 7) as int)",
+    "fare_amount": "value",
+    "extra": "cast(0.5 as double)",
+    "mta_tax": "cast(0.5 as double)",
+    "tip_amount": "cast(if(event_type = 'purchase', 2.0, 0.0) as double)",
+    "tolls_amount": "cast(0.0 as double)",
+    "improvement_surcharge": "cast(0.3 as double)",
+    "total_amount": ("cast(cast(value as decimal(12,2)) + 1.30 "
+                     "+ if(event_type = 'purchase', 2.0, 0.0) as double)"),
+    "congestion_surcharge": "cast(2.5 as double)",
+}
 
 
-def _ride_values() -> dict[str, Column]:
-    return {
-        "PULocationID": F.expr("cast(user_id % 27 as int)"),
-        "DOLocationID": F.expr("cast(event_id % 27 as int)"),
-        "trip_distance": F.expr("(event_id % 200) / 10"),
-        "total_amount": F.col("value"),
-        "tpep_pickup_datetime": F.expr("unix_millis(cast(ts as timestamp))"),
-    }
+def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ride events with the pickup instant as epoch milliseconds."""
+    plain = [F.expr(_RIDE_VALUES[n]).alias(n) for n in
+             ("PULocationID", "DOLocationID", "trip_distance")]
+    return table(spark, sf_dir, "events").select(
+        *plain, F.col("value").alias("total_amount"),
+        F.expr("unix_millis(cast(ts as timestamp))").alias("tpep_pickup_datetime"))
+
+
+def recent_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of yellow trips made from the events, for tables laid out by day."""
+    return table(spark, sf_dir, "events").select(*[
+        F.expr(_RIDE_VALUES[schemas.COMMON_NAMES.get(n, n)]).alias(n)
+        for n in schemas.YELLOW_COLUMNS])
+
+
+def recent_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same month keyed by trip id, with its pickup date."""
+    names = ["VendorID", "PULocationID", "DOLocationID", "pickup_datetime", "dropoff_datetime",
+             "fare_amount", "tip_amount", "total_amount"]
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("trip_id"),
+        *[F.expr(_RIDE_VALUES[n]).alias(n) for n in names],
+        F.expr("cast(ts as date)").alias("pickup_date"))
 
 
 def products(spark: SparkSession, sf_dir: str, per_document: int = 100) -> DataFrame:

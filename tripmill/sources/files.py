@@ -83,9 +83,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def month_path(root: str, service: str, year: int, month: int, suffix: str = "parquet") -> str:
+# Fixed value: name of the published file of one service and month.
+MONTH_FILE = "{service}_tripdata_{year}-{month:02d}.parquet"
+
+
+def month_path(root: str, service: str, year: int, month: int,
+               template: str = MONTH_FILE) -> str:
     """Path of one month's file."""
-    return f"{root}/{service}_tripdata_{year}-{month:02d}.{suffix}"
+    return f"{root}/{template.format(service=service, year=year, month=month)}"
 
 
 @dataclass(frozen=True)
@@ -97,7 +102,7 @@ class Ingest:
 
 
 def ingest_months(spark: SparkSession, root: str, services: Iterable[str],
-                  first: str | date, last: str | date) -> Ingest:
+                  first: str | date, last: str | date, template: str = MONTH_FILE) -> Ingest:
     """Trips of all services and months in a closed range, in the ingestion schema.
 
     The files of a service are read as one scan. A missing file is reported, not an error; with
@@ -105,7 +110,8 @@ def ingest_months(spark: SparkSession, root: str, services: Iterable[str],
     """
     frames, skipped = [], []
     for service in services:
-        wanted = [month_path(root, service, y, m) for y, m in month_list(first, last)]
+        wanted = [month_path(root, service, y, m, template)
+                  for y, m in month_list(first, last)]
         present = [p for p in wanted if path_exists(spark, p)]
         skipped += [p for p in wanted if p not in set(present)]
         if present:
