@@ -1 +1,113 @@
-"""Pending."""
+"""Tip model. Features, encoding, split and statistics have oracles; fitted values do not."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml import Pipeline
+from pyspark.sql import DataFrame, functions as F
+
+from tripmill.catalog.prelude import mean, number_text
+from tripmill.catalog.registry import query
+from tripmill.operators import regression as reg
+from tripmill.sources import adapters
+
+_FEATURES = """
+, features AS (
+  SELECT passenger_count, trip_distance, CAST(PULocationID AS VARCHAR) AS PULocationID,
+    CAST(DOLocationID AS VARCHAR) AS DOLocationID, CAST(payment_type AS VARCHAR) AS payment_type,
+    fare_amount, tolls_amount, tip_amount
+  FROM yellow WHERE fare_amount <> 0 AND tip_amount IS NOT NULL
+)"""
+
+
+def _rows(spark, d):
+    return reg.features(adapters.yellow(spark, d))
+
+
+@query("ml_features", _FEATURES + " SELECT * FROM features")
+def ml_features(spark, d):
+    return _rows(spark, d)
+
+
+@query("ml_encode", _FEATURES + " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, category,
+  CAST(row_number() OVER (ORDER BY n DESC, category) - 1 AS INTEGER) AS slot FROM (
+    SELECT coalesce({c}, '_null_filler') AS category, count(*) AS n FROM features GROUP BY 1)
+""" for c in reg.CATEGORICAL))
+def ml_encode(spark, d):
+    """Slot of every category in the fitted one-hot vectors."""
+    rows = reg.filled(_rows(spark, d))
+    indexed = Pipeline(stages=reg.encoder()).fit(rows).transform(rows)
+    parts = [indexed.select(F.lit(c).alias("feature"), F.col(c).alias("category"),
+                            F.col(f"{c}_idx").cast("int").alias("slot")).distinct()
+             for c in reg.CATEGORICAL]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("ml_split", _FEATURES + f"""
+, digests AS (
+  SELECT substr(md5(concat_ws('|', CAST(passenger_count AS VARCHAR),
+    {number_text('trip_distance')}, PULocationID, DOLocationID, coalesce(payment_type, ''),
+    {number_text('fare_amount')}, {number_text('tolls_amount')}, {number_text('tip_amount')})),
+    1, 8) AS digest FROM features
+)
+SELECT digest < CASE WHEN total < 500 THEN '00000000' WHEN total <= 50000 THEN '33333333'
+    ELSE lpad(printf('%x', CAST(floor(10000.0 / total * 4294967296) AS BIGINT)), 8, '0') END AS is_eval,
+  count(*) AS n FROM digests, (SELECT count(*) AS total FROM features) GROUP BY 1""")
+def ml_split(spark, d):
+    return reg.auto_split(_rows(spark, d)).groupBy("is_eval").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ml_train")
+def ml_train(spark, d):
+    """Weight of every numeric input and the intercept, fitted on the training side."""
+    rows = reg.auto_split(_rows(spark, d)).where(~F.col("is_eval")).drop("is_eval")
+    model = reg.train(rows).stages[-1]
+    weights = list(zip(reg.NUMERIC, [float(w) for w in model.coefficients]))
+    return spark.createDataFrame(weights + [("intercept", float(model.intercept))],
+                                 "input string, weight double")
+
+
+_INFO = """SELECT '{c}' AS input, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+  {mean} AS mean, round(stddev_samp({c}), 6) AS stddev, CAST(NULL AS BIGINT) AS category_count,
+  count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM features"""
+_INFO_CATEGORY = """SELECT '{c}', NULL, NULL, NULL, NULL, count(DISTINCT {c}),
+  count(*) FILTER (WHERE {c} IS NULL) FROM features"""
+
+
+@query("ml_feature_info", _FEATURES + " UNION ALL ".join(
+    [_INFO.format(c=c, mean=mean(c)) for c in reg.NUMERIC]
+    + [_INFO_CATEGORY.format(c=c) for c in reg.CATEGORICAL]))
+def ml_feature_info(spark, d):
+    """The median is a bounded-error summary, so it is checked by a test and not shown here."""
+    return reg.feature_info(_rows(spark, d)).drop("median").withColumn(
+        "stddev", F.round("stddev", 6))
+
+
+@query("ml_evaluate")
+def ml_evaluate(spark, d):
+    rows = _rows(spark, d)
+    return reg.evaluate(reg.predict(reg.train(rows), rows))
+
+
+@query("ml_predict")
+def ml_predict(spark, d):
+    rows = _rows(spark, d)
+    return reg.predict(reg.train(rows), rows)
+
+
+@query("ml_explain")
+def ml_explain(spark, d):
+    rows = _rows(spark, d)
+    model = reg.train(rows)
+    return reg.explain(model, rows, reg.baseline(model, rows))
+
+
+@query("ml_tune")
+def ml_tune(spark, d):
+    """Validation error of every tried penalty."""
+    search = reg.tune(_rows(spark, d))
+    rows = [(l1, l2, float(mse)) for (l1, l2), mse in
+            zip(reg.trials(), search.validationMetrics)]
+    return spark.createDataFrame(rows, "l1_reg double, l2_reg double, mean_squared_error double")

@@ -1 +1,164 @@
-"""Pending."""
+"""Streaming jobs, run to the end of the input at hand and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tripmill import schemas
+from tripmill.catalog.prelude import total
+from tripmill.catalog.registry import query
+from tripmill.session import table_name, workspace
+from tripmill.sinks.files import publish
+from tripmill.sources import adapters
+from tripmill.streaming import rides
+
+_PASSED = """
+SELECT PULocationID, DOLocationID, trip_distance, total_amount,
+  make_timestamp(tpep_pickup_datetime * 1000) AS pickup_datetime FROM rides"""
+_HOURLY = f"""
+SELECT date_trunc('hour', make_timestamp(tpep_pickup_datetime * 1000)) AS window_start,
+  PULocationID, count(*) AS num_trips, {total('total_amount')} AS total_revenue
+FROM rides GROUP BY 1, 2"""
+# Windows a five-second watermark has closed by the end of the input.
+_CLOSED = f"""
+SELECT * FROM ({_HOURLY}) WHERE window_start + INTERVAL 1 HOUR
+  <= (SELECT make_timestamp(max(tpep_pickup_datetime) * 1000) FROM rides) - INTERVAL 5 SECOND"""
+
+
+def _events(spark, d):
+    """The rides as JSON lines, and a stream over them."""
+    path = workspace(spark, "ride-events")
+    publish(adapters.rides(spark, d), path)
+    return rides.source(spark, path)
+
+
+def _run(query):
+    query.awaitTermination()
+    return query
+
+
+def _through_files(spark, df, label):
+    out = workspace(spark, label)
+    _run(rides.to_files(df, out, workspace(spark, f"{label}-checkpoint"), bounded=True))
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def _through_batches(spark, df, label, mode, sink):
+    checkpoint = workspace(spark, f"{label}-checkpoint")
+    _run(rides.writer(df, checkpoint, mode, bounded=True).foreachBatch(sink).start())
+
+
+@query("src_stream_json", "SELECT * FROM rides")
+def src_stream_json(spark, d):
+    return _through_files(spark, _events(spark, d), "stream-json")
+
+
+@query("src_stream_offsets", "SELECT count(*) AS n FROM rides")
+def src_stream_offsets(spark, d):
+    path = workspace(spark, "ride-events")
+    publish(adapters.rides(spark, d), path)
+    stream = rides.source(spark, path, start="earliest", files_per_batch=4)
+    stored = _through_files(spark, stream, "stream-offsets")
+    return stored.agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stm_pass_through", _PASSED)
+def stm_pass_through(spark, d):
+    return _through_files(spark, rides.passed_through(_events(spark, d)), "pass-through")
+
+
+@query("stm_event_time", """
+SELECT *, make_timestamp(tpep_pickup_datetime * 1000) AS event_timestamp FROM rides""")
+def stm_event_time(spark, d):
+    return _through_files(spark, rides.with_event_time(_events(spark, d)), "event-time")
+
+
+@query("stm_watermark", _CLOSED)
+def stm_watermark(spark, d):
+    """Append mode: only windows the watermark has closed are written."""
+    return _through_files(spark, rides.hourly(_events(spark, d)), "watermark")
+
+
+@query("stm_tumbling", _HOURLY)
+def stm_tumbling(spark, d):
+    """Update mode: every window is written with its latest value."""
+    return _keyed(spark, _events(spark, d), "tumbling")
+
+
+def _keyed(spark, stream, label):
+    name = table_name("hourly")
+    rides.hourly_table(spark, name, workspace(spark, label))
+    _through_batches(spark, rides.hourly(stream), label, "update", rides.upsert_sink(name))
+    return spark.table(name).drop("window_date")
+
+
+@query("stm_upsert_sink", _HOURLY)
+def stm_upsert_sink(spark, d):
+    """The same events in several micro-batches; open windows are written again and again."""
+    path = workspace(spark, "ride-events")
+    events = adapters.rides(spark, d)
+    # Files in event order, so that nothing is late when they arrive one after the other.
+    publish(events.repartitionByRange(4, "tpep_pickup_datetime"), path)
+    files = sorted(spark.read.text(path).inputFiles())
+    name = table_name("hourly")
+    rides.hourly_table(spark, name, workspace(spark, "upsert"))
+    checkpoint = workspace(spark, "upsert-checkpoint")
+    arrivals = workspace(spark, "arrivals")
+    for file in files:
+        spark.read.text(file).write.mode("append").text(arrivals)
+        stream = rides.hourly(rides.source(spark, arrivals))
+        _run(rides.writer(stream, checkpoint, "update", bounded=True)
+             .foreachBatch(rides.upsert_sink(name)).start())
+    return spark.table(name).drop("window_date")
+
+
+@query("stm_late_data", _CLOSED)
+def stm_late_data(spark, d):
+    """Events arrive unordered inside one batch: rows late within a batch are counted."""
+    path = workspace(spark, "ride-events")
+    publish(adapters.rides(spark, d).repartition(8, "PULocationID"), path)
+    return _through_files(spark, rides.hourly(rides.source(spark, path)), "late")
+
+
+@query("stm_append_sink", _PASSED)
+def stm_append_sink(spark, d):
+    out = workspace(spark, "append-sink")
+    stream = rides.passed_through(_events(spark, d))
+    _through_batches(spark, stream, "append-sink", "append", rides.append_sink(out))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query("stm_checkpoint", "SELECT count(*) AS n FROM rides")
+def stm_checkpoint(spark, d):
+    """A second run from the same checkpoint finds nothing left to do."""
+    stream = rides.passed_through(_events(spark, d))
+    out, checkpoint = workspace(spark, "resumed"), workspace(spark, "resumed-checkpoint")
+    for _ in range(2):
+        _run(rides.to_files(stream, out, checkpoint, bounded=True))
+    return spark.read.schema(stream.schema).parquet(out).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stm_parallelism", _HOURLY)
+def stm_parallelism(spark, d):
+    """Three state partitions; the session's own setting is put back afterwards."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rides.parallelism(spark, 3)
+    try:
+        return _keyed(spark, _events(spark, d), "three-way")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@query("stm_row_consumer", "SELECT count(*) AS n_consumed FROM rides")
+def stm_row_consumer(spark, d):
+    """Rows consumed, from the progress the query itself reports."""
+    stream = rides.passed_through(_events(spark, d))
+    done = _run(rides.to_files(stream, workspace(spark, "consumed"),
+                               workspace(spark, "consumed-checkpoint"), bounded=True))
+    return spark.range(1).select(
+        F.lit(rides.progress_rows(done)).cast("bigint").alias("n_consumed"))
+
+
+@query("stm_batch_twin", _HOURLY)
+def stm_batch_twin(spark, d):
+    return rides.hourly(adapters.rides(spark, d))

@@ -8,7 +8,8 @@ tables are written to a fresh directory and the table is pointed at it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import timedelta
 from urllib.parse import unquote
 
@@ -22,6 +23,8 @@ from tripmill.session import workspace
 # Above this many changed partitions, a join picks them instead of a literal list.
 LISTED_PARTITIONS = 10_000
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def create_as(df: DataFrame, table: str, path: str) -> DataFrame:
     """Table from a query, replacing an earlier one."""
@@ -98,12 +101,23 @@ def swap(df: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only partitions that get rows. Table inserts take this from the session."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def overwrite_partitions(df: DataFrame, table: str, partition: str) -> None:
     """Replace the partitions that occur in ``df``; others stay. ``df`` may read the table."""
     spark = df.sparkSession
     columns = spark.table(table).columns
-    (df.select(*columns).hint("rebalance", partition).write
-     .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+    with _dynamic_overwrite(spark):
+        df.select(*columns).hint("rebalance", partition).write.insertInto(table, overwrite=True)
 
 
 def in_partitions(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
