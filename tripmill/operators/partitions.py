@@ -43,9 +43,8 @@ def revenue_by_reduce(trips: DataFrame, since: str, pickup: str) -> DataFrame:
             mapped = pd.DataFrame({
                 "hour": kept[pickup].dt.floor("h"), "zone": kept["PULocationID"],
                 "units": (kept["total_amount"] * 10_000).round(), "n": 1})
-            yield (mapped.groupby(["hour", "zone"], dropna=False)
-                   .agg(units=("units", lambda u: u.sum(min_count=1)), n=("n", "sum"))
-                   .reset_index())
+            yield (mapped.groupby(["hour", "zone"], dropna=False, sort=False)
+                   .sum(min_count=1).reset_index())
 
     reduced = trips.select(pickup, "PULocationID", "total_amount").mapInPandas(
         reduce_batches, schema)

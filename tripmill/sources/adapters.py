@@ -19,13 +19,14 @@ _PICKUP = ("cast(timestampadd(SECOND, cast((l_orderkey * 7 + l_linenumber) % 864
 _DROPOFF = ("cast(timestampadd(SECOND, cast((l_orderkey * 7 + l_linenumber) % 86400 "
             "+ 60 + (l_partkey * 31) % 5400 as int), l_shipdate) as timestamp)")
 
-# Doubles are exact at two decimals: products are formed as decimals and rounded before the cast.
-_PRICE = "cast(l_extendedprice as decimal(12,2))"
-_FARE = f"if(l_orderkey % 97 = 0, cast(0 as decimal(12,2)), {_PRICE})"
-_EXTRA = "cast(cast(l_discount as decimal(4,2)) * 10 as decimal(4,2))"
-_TIP = f"cast(round({_PRICE} * cast(l_tax as decimal(4,2)), 2) as decimal(12,2))"
-_TOLLS = "if(l_partkey % 10 = 0, 6.55, 0.00)"
-_CONGESTION = "if(l_suppkey % 2 = 0, 2.50, null)"
+# Amounts are formed in whole cents, as longs: exact, and cheap inside generated code. The tax
+# rate is in percent, so half a cent of the product is 50.
+_FARE = "if(l_orderkey % 97 = 0, 0L, cast(rint(l_extendedprice * 100) as bigint))"
+_EXTRA = "cast(rint(l_discount * 100) as bigint) * 10"
+_TIP = ("((cast(rint(l_extendedprice * 100) as bigint) * cast(rint(l_tax * 100) as bigint) + 50) "
+        "div 100)")
+_TOLLS = "if(l_partkey % 10 = 0, 655, 0)"
+_CONGESTION = "if(l_suppkey % 2 = 0, 250, null)"
 
 _VALUES = {
     "VendorID": "cast(nullif(l_suppkey % 5, 0) as int)",
@@ -38,17 +39,17 @@ _VALUES = {
     "PULocationID": "cast(l_suppkey % 27 as int)",
     "DOLocationID": "cast(l_partkey % 27 as int)",
     "payment_type": "nullif(l_linenumber, 7)",
-    "fare_amount": f"cast({_FARE} as double)",
-    "extra": f"cast({_EXTRA} as double)",
+    "fare_amount": f"{_FARE} / 100",
+    "extra": f"{_EXTRA} / 100",
     "mta_tax": "cast(0.5 as double)",
-    "tip_amount": f"cast({_TIP} as double)",
-    "tolls_amount": f"cast({_TOLLS} as double)",
+    "tip_amount": f"{_TIP} / 100",
+    "tolls_amount": f"{_TOLLS} / 100",
     "ehail_fee": "cast(null as double)",
     "improvement_surcharge": "cast(0.3 as double)",
-    "total_amount": (f"cast({_FARE} + {_EXTRA} + 0.50 + {_TIP} + {_TOLLS} + 0.30 "
-                     f"+ coalesce({_CONGESTION}, 0.00) as double)"),
+    "total_amount": (f"({_FARE} + {_EXTRA} + 50 + {_TIP} + {_TOLLS} + 30 "
+                     f"+ coalesce({_CONGESTION}, 0)) / 100"),
     "trip_type": "cast(l_suppkey % 2 + 1 as int)",
-    "congestion_surcharge": f"cast({_CONGESTION} as double)",
+    "congestion_surcharge": f"{_CONGESTION} / 100",
 }
 
 
@@ -142,8 +143,8 @@ _RIDE_VALUES = {
     "tip_amount": "cast(if(event_type = 'purchase', 2.0, 0.0) as double)",
     "tolls_amount": "cast(0.0 as double)",
     "improvement_surcharge": "cast(0.3 as double)",
-    "total_amount": ("cast(cast(value as decimal(12,2)) + 1.30 "
-                     "+ if(event_type = 'purchase', 2.0, 0.0) as double)"),
+    "total_amount": ("(cast(rint(value * 100) as bigint) + 130 "
+                     "+ if(event_type = 'purchase', 200, 0)) / 100"),
     "congestion_surcharge": "cast(2.5 as double)",
 }
 
