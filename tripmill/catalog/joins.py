@@ -142,7 +142,7 @@ QUALIFY row_number() OVER (PARTITION BY VendorID, pickup_datetime, PULocationID,
   ORDER BY {_FIRST_DROPOFF}, fare_amount) = 1""")
 def win_dedupe_first(spark, d):
     return dedupe.keep_first(
-        _slim_trips(spark, d), ["VendorID", "pickup_datetime", "PULocationID", "service_type"],
+        _slim_trips(spark, d), ["pickup_datetime", "PULocationID", "VendorID", "service_type"],
         ["dropoff_datetime", "DOLocationID", "total_amount", "payment_type", "tip_amount",
          "fare_amount"])
 

@@ -13,7 +13,8 @@ def keep_first(df: DataFrame, keys: Sequence[str],
 
     The filter on the row number lets the planner keep one row per key inside every task before
     the shuffle, so a key holding a third of all rows still sends one row per task. Give an
-    order that is total, or the choice between ties is open.
+    order that is total, or the choice between ties is open. Name the most selective key first:
+    the sort compares it before the others.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return qualify(df, F.row_number().over(window) == 1)

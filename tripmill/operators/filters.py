@@ -40,7 +40,7 @@ def newer_than(source: DataFrame, target: DataFrame, ts: str,
     The bound is a scalar subquery, so the plan has no join and the comparison is pushed to the
     scan. ``lookback`` moves it back to let late rows in again. Rows without ``ts`` are dropped.
     """
-    newest = F.coalesce(F.max(ts), F.lit(EARLIEST).cast("timestamp"))
+    newest = F.coalesce(F.max(ts), F.lit(EARLIEST).cast(source.schema[ts].dataType))
     if lookback:
         newest = F.timestamp_add("SECOND", F.lit(-int(lookback.total_seconds())), newest)
     kept = source.where(F.col(ts) > target.agg(newest).scalar())

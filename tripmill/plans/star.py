@@ -41,7 +41,8 @@ YELLOW_DEFAULTS = {"trip_type": 1, "ehail_fee": 0}
 
 TRIP_KEY = ["vendorid", "pickup_datetime", "dropoff_datetime", "pickup_locationid",
             "dropoff_locationid", "service_type"]
-SAME_TRIP = ["vendorid", "pickup_datetime", "pickup_locationid", "service_type"]
+# The most selective key comes first: rows are sorted by it before any other is compared.
+SAME_TRIP = ["pickup_datetime", "pickup_locationid", "vendorid", "service_type"]
 # The first dropoff wins; the rest makes the choice between ties repeatable.
 FIRST_DROPOFF = ["dropoff_datetime", "dropoff_locationid", "total_amount", "payment_type",
                  "fare_amount", "tip_amount", "extra", "trip_distance", "passenger_count",

@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The virtual machine never compiles a method above 8,000 bytes of byte code. Wide trip
+    # projections exceed that when fused into one method, and then run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Settings for sessions this package builds itself; a cluster may override any of them.

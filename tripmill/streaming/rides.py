@@ -112,12 +112,16 @@ def upsert_sink(table: str) -> Callable[[DataFrame, int], None]:
     """Batch function that keeps the last value per window and zone in a keyed table.
 
     The table is partitioned by the date of the window, which the key fixes, so a batch rewrites
-    the dates of its windows only. Writing the same batch again changes nothing.
+    the dates of its windows only. Writing the same batch again changes nothing. The merge reads
+    the batch more than once, so its few aggregated rows are kept: the state is updated once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        dated = batch.withColumn("window_date", F.to_date("window_start"))
-        tables.upsert(dated, table, ["window_start", "PULocationID"], "window_date",
-                      key_fixes_partition=True)
+        dated = batch.withColumn("window_date", F.to_date("window_start")).persist()
+        try:
+            tables.upsert(dated, table, ["window_start", "PULocationID"], "window_date",
+                          key_fixes_partition=True)
+        finally:
+            dated.unpersist()
     return write
 
 
@@ -146,7 +150,7 @@ def dropped_late(query: StreamingQuery) -> int:
 
 
 def progress_rows(query: StreamingQuery) -> int:
-    """Input rows processed so far."""
+    """Input rows processed so far, as far back as the query keeps its progress."""
     return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
