@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, scans_of
 from tripmill import schemas
-from tripmill.operators import aggregates, dedupe, filters, joins, merge, partitions, projections, quality
+from tripmill.operators import aggregates, dedupe, filters, joins, merge, partitions, projections, quality, skew
 from tripmill.plans import layers, loads, revenue, star
 from tripmill.sources import adapters, files
 
@@ -106,7 +106,49 @@ def test_sized_broadcasts_only_small(spark):
 def test_anti_insert_null_keys_never_match(spark, rows):
     source = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, v string")
     target = spark.createDataFrame([(1,), (1,), (None,)], "k int")
-    assert rows(joins.anti_insert(source, target, ["k"])) == [(None, "b"), (2, "c")]
+    assert rows(skew.anti_insert(source, target, ["k"])) == [(None, "b"), (2, "c")]
+
+
+def hot_frames(spark):
+    """Most source rows share one key or have none; a copy of the hot key may be in the target."""
+    source = spark.range(10_000).select(
+        F.when(F.col("id") % 10 < 5, "hot").when(F.col("id") % 10 < 8, None)
+        .otherwise(F.col("id").cast("string")).alias("k"), "id")
+    target = spark.range(3_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    return source, target
+
+
+def test_hot_keys_are_found_and_rare_ones_are_not(spark):
+    source, _ = hot_frames(spark)
+    assert len(skew.hot_hashes(source, ["k"], min_rows=100)) == 2
+    assert skew.hot_hashes(source, ["k"]) == []
+    assert skew.hot_hashes(source.limit(0), ["k"], min_rows=1) == []
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+@pytest.mark.parametrize("with_hot", [True, False])
+def test_filter_join_is_exact_on_hot_keys(spark, how, with_hot):
+    source, target = hot_frames(spark)
+    if not with_hot:
+        target = target.where("k <> 'hot'")
+    split = skew.filter_join(source, target, ["k"], how, min_rows=100)
+    plain = source.join(target, ["k"], how)
+    assert "BroadcastHashJoin" in plan_of(split)
+    assert split.exceptAll(plain).count() == plain.exceptAll(split).count() == 0
+
+
+def test_hot_rows_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source, target = hot_frames(spark)
+        plan = plan_of(skew.filter_join(source, target, ["k"], "left_anti", min_rows=100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    cold, hot = plan.split("BroadcastHashJoin")
+    assert "SortMergeJoin" in cold
+    left_of_broadcast = hot.split("BroadcastExchange")[0]
+    assert "Exchange hashpartitioning" not in left_of_broadcast
 
 
 def test_full_outer_coalesces_keys(spark, rows):

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from tripmill.catalog.prelude import total
 from tripmill.catalog.registry import query
 from tripmill.functions.exact import exact_sum
-from tripmill.operators import dedupe, filters, joins
+from tripmill.operators import dedupe, filters, joins, skew
 from tripmill.operators.aggregates import group_count, top
 from tripmill.plans import revenue, star
 from tripmill.sources import adapters, files
@@ -122,7 +122,7 @@ def jn_anti_insert(spark, d):
     source = adapters.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     target = adapters.table(spark, d, "lineitem").where("l_linestatus = 'F'").select(
         F.col("l_orderkey").alias("o_orderkey"))
-    return joins.anti_insert(source, target, ["o_orderkey"])
+    return skew.anti_insert(source, target, ["o_orderkey"])
 
 
 _FIRST_DROPOFF = """

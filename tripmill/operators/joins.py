@@ -43,12 +43,3 @@ def with_zone(facts: DataFrame, zones: DataFrame, key: str, role: str,
 def full_outer(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join on equally named keys, which appear once. Aggregate both sides first."""
     return left.join(right, keys, "full_outer")
-
-
-def anti_insert(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows whose key the target does not have; null keys never match.
-
-    The target is reduced to distinct keys before the shuffle, so many copies of one key cost
-    one row per task.
-    """
-    return source.join(target.select(*keys).distinct(), keys, "left_anti")

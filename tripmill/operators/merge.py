@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tripmill.operators.dedupe import keep_first
 from tripmill.operators.filters import half_open, newer_than
-from tripmill.operators.joins import anti_insert
+from tripmill.operators.skew import anti_insert
 
 
 def append(target: DataFrame, source: DataFrame) -> DataFrame:

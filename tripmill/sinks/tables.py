@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tripmill.operators import merge
 from tripmill.operators.dedupe import keep_first
 from tripmill.operators.filters import newer_than
+from tripmill.operators.joins import lookup_join
+from tripmill.operators.skew import filter_join
 from tripmill.session import workspace
 
 # Above this many changed partitions, a join picks them instead of a literal list.
@@ -48,11 +50,11 @@ def create_clustered(df: DataFrame, table: str, path: str, ts: str, cluster: str
                      buckets: int, date_col: str = "pickup_date") -> DataFrame:
     """Table partitioned by date and hashed and sorted by ``cluster`` within each date.
 
-    An equality filter on ``cluster`` opens one file in ``buckets``. The date is part of the
-    shuffle key, so a task writes its own bucket of one date rather than one file per date.
+    An equality filter on ``cluster`` opens the files of one bucket. Rows are gathered by date
+    and cluster key, so a bucket of a date is few files; a hot pair is split over several tasks.
     """
     dated = df.withColumn(date_col, F.to_date(ts))
-    (dated.repartition(date_col, cluster).write.mode("overwrite").option("path", path)
+    (dated.hint("rebalance", date_col, cluster).write.mode("overwrite").option("path", path)
      .partitionBy(date_col).bucketBy(buckets, cluster).sortBy(cluster).saveAsTable(table))
     return df.sparkSession.table(table)
 
@@ -129,7 +131,7 @@ def in_partitions(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame
     distinct = wanted.select(partition).distinct()
     listed = distinct.limit(LISTED_PARTITIONS + 1).collect()
     if len(listed) > LISTED_PARTITIONS:
-        return df.join(distinct, partition, "left_semi")
+        return lookup_join(df, distinct, partition, "left_semi")
     return df.where(F.col(partition).isin([r[0] for r in listed]))
 
 
@@ -167,8 +169,7 @@ def _merge_partitions(source: DataFrame, table: str, keys: Sequence[str], partit
     target = spark.table(table)
     changed = source.select(partition)
     if not key_fixes_partition:
-        matched = target.select(*{*keys, partition}).join(
-            source.select(*keys).distinct(), list(keys), "left_semi")
+        matched = filter_join(target.select(*{*keys, partition}), source, keys, "left_semi")
         changed = changed.unionByName(matched.select(partition))
     touched = in_partitions(target, partition, changed)
     result = strategy(touched, source, keys, order)
