@@ -37,9 +37,10 @@ class Stream:
         return rides.source(self.spark, str(self.root / "in"), files_per_batch=1)
 
     def run(self, df, mode, sink):
-        query = rides.writer(df, str(self.root / "checkpoint"), mode, bounded=True).foreachBatch(
-            sink).start()
-        query.awaitTermination()
+        with rides.parallelism(self.spark):
+            query = rides.writer(df, str(self.root / "checkpoint"), mode, bounded=True) \
+                .foreachBatch(sink).start()
+            query.awaitTermination()
         return query
 
 
@@ -148,3 +149,12 @@ def test_progress_counts_rows(spark, stream):
     query = stream.run(rides.passed_through(stream.source()), "append",
                        lambda df, i: df.write.format("noop").mode("overwrite").save())
     assert rides.progress_rows(query) == 3
+
+
+def test_parallelism_sets_state_partitions_and_is_put_back(spark, stream, hourly_sink):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream.arrive(event(0))
+    query = stream.run(rides.hourly(stream.source()), "update", rides.upsert_sink(hourly_sink))
+    operators = [op for p in query.recentProgress for op in p["stateOperators"]]
+    assert {op["numShufflePartitions"] for op in operators} == {rides.INSTANCES}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -12,10 +13,11 @@ from tripmill.functions.exact import exact_sum
 from tripmill.functions.temporal import from_epoch_ms
 from tripmill.sinks import tables
 
-# Lateness bound, window length and checkpoint pace.
+# Lateness bound, window length, checkpoint pace and parallel instances.
 LATENESS = "5 seconds"
 WINDOW = "1 hour"
 CHECKPOINT_EVERY = "10 seconds"
+INSTANCES = 3
 
 STARTS = ("earliest", "latest")
 
@@ -134,12 +136,19 @@ def hourly_table(spark: SparkSession, table: str, path: str) -> None:
     tables.create_if_absent(spark, table, type(empty.schema)(fields[:-1]), path, fields[-1:])
 
 
-def parallelism(spark: SparkSession, instances: int) -> None:
-    """Number of state partitions of queries started after this call.
+@contextmanager
+def parallelism(spark: SparkSession, instances: int = INSTANCES) -> Iterator[None]:
+    """Number of state partitions of the queries started inside.
 
-    It is fixed by the first run of a checkpoint, so size it for the peak.
+    State is never re-partitioned: the first run of a checkpoint fixes the number, so size it for
+    the peak. The batch default is meant for large shuffles and makes small triggers slow.
     """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", instances)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def dropped_late(query: StreamingQuery) -> int:
