@@ -169,6 +169,19 @@ def test_csv_months_are_converted_once(spark, tmp_path):
         (1, 1, 6.8), (2, 2, 6.8)}
 
 
+def test_raw_copy_of_several_files_keeps_every_row(spark, tmp_path, rows):
+    for part in range(3):
+        csv_file(tmp_path / "in" / f"{part}.csv", "a,b", *[f"{part},{i}" for i in range(500)])
+    # Splits far smaller than a file: most tasks never see the header line.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        out.copy_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+        got = files.csv_text(spark, str(tmp_path / "raw"))
+        assert rows(got) == sorted((str(p), str(i)) for p in range(3) for i in range(500))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_jdbc_and_warehouse_options(spark):
     options = out.jdbc_options("jdbc:postgresql://db/trips", "trips", "u", "p", 20_000, 4)
     assert options["batchsize"] == "20000" and options["numPartitions"] == "4"

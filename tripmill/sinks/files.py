@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from tripmill import schemas
-from tripmill.sources.files import csv_typed, month_path, path_exists
+from tripmill.sources.files import csv_text, csv_typed, month_path, path_exists
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -97,8 +97,12 @@ def kafka_options(servers: str, topic: str) -> dict[str, str]:
 
 
 def copy_raw(spark: SparkSession, source: str, target: str) -> None:
-    """Land text files unchanged in the raw area before they are loaded."""
-    spark.read.text(source).write.mode("overwrite").text(target)
+    """Land CSV files in the raw area before they are loaded, every value as text.
+
+    Large files are split over tasks, so each output file gets the header again; copying plain
+    lines would leave most parts without one.
+    """
+    csv_text(spark, source).write.option("header", True).mode("overwrite").csv(target)
 
 
 def jdbc_writer(df: DataFrame, url: str, table: str, mode: str, user: str, password: str,
