@@ -20,10 +20,8 @@ def number_text(col: Column | str) -> Column:
     return F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
 
 
-def _text(col: Column | str, null: str, suffix: str = "") -> Column:
+def _text(col: Column | str, null: str) -> Column:
     text = (F.col(col) if isinstance(col, str) else col).cast("string")
-    if suffix:
-        text = F.concat(text, F.lit(suffix))
     return F.coalesce(text, F.lit(null))
 
 

@@ -2,8 +2,10 @@
 
 Only Parquet is assumed, so there is no multi-writer transaction: one job writes a table at a
 time. Partitioned tables are changed by dynamic partition overwrite, which stages new files and
-swaps whole partitions at commit; a failed job leaves the old files in place. Unpartitioned
-tables are written to a fresh directory and the table is pointed at it.
+swaps whole partitions at commit. Lost tasks and jobs that fail before the commit leave the old
+files in place. The swap itself is not atomic: a driver lost during it can lose a partition that is
+being swapped, so keep a copy or a table format with transactions where that matters.
+Unpartitioned tables are written to a fresh directory and the table is pointed at it.
 """
 
 from __future__ import annotations
