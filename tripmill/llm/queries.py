@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmill.llm.common import LOWER, UPPER, table
 from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
+from tripmill.llm.pieces import decode_pieces, encode_pieces
+from tripmill.llm.token_files import read_token_files, write_token_files
 from tripmill.llm.url_filter import judge_urls
+from tripmill.session import workspace
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
              ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
@@ -37,6 +41,25 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, read back from the files they were written to."""
+    files = write_token_files(table(spark, sf_dir, "documents"), workspace(spark, "tokens"),
+                              public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(files).select(
+        F.col("id").alias("doc_id"), "start",
+        F.floor(F.length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text they decode to, as digests."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), model), model)
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def table_of_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(URL_RULES, "host string, path string, action string")
 
@@ -45,6 +68,8 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
+    "op9_token_files": op9_token_files,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLES = {
