@@ -9,6 +9,7 @@ from tripmill.llm.common import LOWER, UPPER, table
 from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
 from tripmill.llm.pieces import decode_pieces, encode_pieces
+from tripmill.llm.simhash import hex_of, near_duplicates
 from tripmill.llm.token_files import read_token_files, write_token_files
 from tripmill.llm.url_filter import judge_urls
 from tripmill.session import workspace
@@ -18,6 +19,13 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
              ("net", "/fr/", "block")]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), hex_of(F.col("fp")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines repeated in three or more documents stay only in the largest document id."""
     kept = dedup_lines(table(spark, sf_dir, "documents"))
@@ -65,6 +73,7 @@ def table_of_rules(spark: SparkSession) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
