@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tripmill.llm import toxicity
 from tripmill.llm.common import LOWER, UPPER, table
 from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
@@ -49,6 +50,14 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).select(
+        F.col("id").alias("doc_id"), "severity", "grade", "toxic")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, read back from the files they were written to."""
     files = write_token_files(table(spark, sf_dir, "documents"), workspace(spark, "tokens"),
@@ -77,6 +86,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
+    "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_pieces": op10_pieces,
 }
