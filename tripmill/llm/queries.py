@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripmill.llm import toxicity
+from tripmill.llm import language, toxicity
 from tripmill.llm.common import LOWER, UPPER, table
 from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
@@ -27,6 +27,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the labelled documents of two thirds of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = language.fit(docs.where(~held_out))
+    return language.predict(docs, model, label=held_out.cast("string")).select(
+        F.col("id").alias("doc_id"), F.col("label").cast("boolean").alias("held_out"),
+        F.col("lang").alias("lang_pred"), "score", "rejected")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines repeated in three or more documents stay only in the largest document id."""
     kept = dedup_lines(table(spark, sf_dir, "documents"))
@@ -83,6 +93,7 @@ def table_of_rules(spark: SparkSession) -> DataFrame:
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_language": op3_language,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
