@@ -9,6 +9,7 @@ from tripmill.llm import language, toxicity
 from tripmill.llm.common import LOWER, UPPER, table
 from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
+from tripmill.llm.neighbours import nearest
 from tripmill.llm.pieces import decode_pieces, encode_pieces
 from tripmill.llm.simhash import hex_of, near_duplicates
 from tripmill.llm.token_files import read_token_files, write_token_files
@@ -20,6 +21,13 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
              ("net", "/fr/", "block")]
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest other vectors of every hundredth vector."""
+    found = nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, 10)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"),
+                        "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -92,6 +100,7 @@ def table_of_rules(spark: SparkSession) -> DataFrame:
 
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_simhash": op2_simhash,
     "op3_language": op3_language,
     "op5_line_dedup": op5_line_dedup,
