@@ -27,13 +27,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tripmill.llm.bloom import Bloom
-from tripmill.llm.common import SPACES, batch_of, carried, fields, map_batches
+from tripmill.llm.bloom import (
+    BY_SHARD, FILTER_BYTES, Repeated, by_shard, repeated, twice_seen)
+from tripmill.llm.common import SPACES, batch_of, carried, fields, map_batches, staged
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-SHARDS = 512
-FILTER_BYTES = 64 << 20
 HELD_KEYS = 200_000
 
 
@@ -58,25 +57,12 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
 
 
-def twice_seen(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
-    """Twice-seen filters: ``part`` and ``filter``, one row per shuffle partition.
-
-    Rows of ``shard`` go to the partition of their shard; ``shards`` lists which ones it had.
-    """
+def seen_lines(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
+    """Hashes of the lines of each task, by filter shard."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
-            keys = np.fromiter(seen, np.uint64, len(seen))
-            more = np.fromiter(seen.values(), bool, len(seen))
-            shard = keys % np.uint64(SHARDS)
-            order = np.argsort(shard, kind="stable")
-            keys, more, shard = keys[order], more[order], shard[order]
-            at = np.flatnonzero(np.diff(shard, prepend=np.uint64(SHARDS))) if len(shard) else []
-            ends = [*at[1:], len(shard)]
-            return batch_of(
-                shard=pa.array([int(shard[i]) for i in at], pa.int32()),
-                once=pa.array([keys[i:j].tobytes() for i, j in zip(at, ends)], pa.binary()),
-                more=pa.array([keys[i:j][more[i:j]].tobytes() for i, j in zip(at, ends)],
-                              pa.binary()))
+            return by_shard(np.fromiter(seen, np.uint64, len(seen)),
+                            np.fromiter(seen.values(), bool, len(seen)))
         seen: dict[int, bool] = {}
         for batch in batches:
             for value in batch.column(0).to_pylist():
@@ -87,66 +73,25 @@ def twice_seen(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
                 seen.clear()
         if seen:
             yield flush()
+    return docs.select(F.col(text).cast("binary")).mapInArrow(gather, BY_SHARD)
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once: dict[int, Bloom] = {}
-        twice: dict[int, Bloom] = {}
-        for batch in batches:
-            for shard, keys, more in zip(*(c.to_pylist() for c in batch.columns)):
-                first, second = once.setdefault(shard, Bloom()), twice.setdefault(shard, Bloom())
-                keys, more = np.frombuffer(keys, np.uint64), np.frombuffer(more, np.uint64)
-                known = first.contains(keys)
-                again = np.union1d(keys[known], more)
-                second.add(again[~second.contains(again)])
-                first.add(keys[~known])
-        if twice:
-            yield batch_of(shard=pa.array(list(twice), pa.int32()),
-                           filter=pa.array([b.to_bytes() for b in twice.values()], pa.binary()))
-
-    sent = docs.select(F.col(text).cast("binary")).mapInArrow(
-        gather, "shard int, once binary, more binary")
-    return sent.repartition("shard").mapInArrow(fill, "shard int, filter binary")
-
-
-class _Suspects:
-    """Picks the keys the twice-seen filters accept; without filters, all of them."""
-
-    def __init__(self, filters) -> None:
-        self.filters, self.open = filters, None
-
-    def pick(self, keys: list[bytes]) -> list[bytes]:
-        if self.filters is None or not keys:
-            return keys
-        if self.open is None:
-            self.open = {s: Bloom.from_bytes(raw) for s, raw in self.filters.value.items()}
-        hashes = _hashes(keys)
-        shards = (hashes % np.uint64(SHARDS)).astype(np.int64)
-        hit = np.zeros(len(keys), bool)
-        for shard in np.unique(shards).tolist():
-            at = np.flatnonzero(shards == shard)
-            if shard in self.open:
-                hit[at] = self.open[shard].contains(hashes[at])
-        return [keys[i] for i in np.flatnonzero(hit)]
-
-    def of_texts(self, texts: list[bytes | None], min_chars: int) -> list[list[bytes]]:
-        keys = [_long_keys(t, min_chars) for t in texts]
-        chosen = set(self.pick(list({k for ks in keys for k in ks})))
-        return [[k for k in ks if k in chosen] for ks in keys]
+
+def _suspects(texts: list[bytes | None], min_chars: int, test: Repeated) -> list[list[bytes]]:
+    """The distinct keys of each text that the filters accept."""
+    keys = [_long_keys(t, min_chars) for t in texts]
+    every = list({k for ks in keys for k in ks})
+    chosen = {every[i] for i in np.flatnonzero(test(_hashes(every)))}
+    return [[k for k in ks if k in chosen] for ks in keys]
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 carry: Sequence[str] = (), min_chars: int = MIN_CHARS,
-                min_docs: int = MIN_DOCS) -> DataFrame:
+                min_docs: int = MIN_DOCS, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """``id``, ``text`` without the lines dropped, ``n_lines``, ``n_dropped``, ``carried``."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("raw"),
                        carried(docs, carry).alias("carried"))
-    spark, filters = docs.sparkSession, None
-    shards = twice_seen(docs, text, min_chars).persist()
-    size = shards.agg(F.sum(F.length("filter"))).first()[0] or 0
-    if size <= FILTER_BYTES:
-        filters = spark.sparkContext.broadcast({r[0]: bytes(r[1]) for r in shards.collect()})
-    shards.unpersist()
-    suspects = _Suspects(filters)
+    filters = staged(twice_seen(seen_lines(docs, text, min_chars)), "line-filters")
+    test, _ = repeated(filters, filter_bytes)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list] = {}
@@ -158,7 +103,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for batch in batches:
             id_type = batch.column(0).type
             ids = batch.column(0).to_pylist()
-            for i, keys in zip(ids, suspects.of_texts(batch.column(1).to_pylist(), min_chars)):
+            for i, keys in zip(ids, _suspects(batch.column(1).to_pylist(), min_chars, test)):
                 for k in keys:
                     v = held.setdefault(k, [0, None])
                     v[0] += 1
@@ -171,12 +116,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield flush()
 
     id_kind = rows.schema["id"].dataType.simpleString()
-    repeated = (rows.select("id", "raw").mapInArrow(counts, f"key binary, n bigint, last {id_kind}")
-                .groupBy("key").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
-                .where(F.col("n") >= min_docs).select("key", "last"))
+    often = (rows.select("id", "raw").mapInArrow(counts, f"key binary, n bigint, last {id_kind}")
+             .groupBy("key").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+             .where(F.col("n") >= min_docs).select("key", "last"))
+    # Stored, so that the join below reads both sides anew and Spark can split a hot key.
+    often = staged(often, "repeated-lines")
 
     def tag(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = suspects.of_texts(batch.column(1).to_pylist(), min_chars)
+        found = _suspects(batch.column(1).to_pylist(), min_chars, test)
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(found, pa.list_(pa.binary()))],
             [*batch.schema.names, "suspects"])
@@ -186,7 +133,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     pairs = map_batches(rows.select("id", "raw"), without_raw,
                         f"id {id_kind}, suspects array<binary>")
-    dropped = (pairs.select("id", F.explode("suspects").alias("key")).join(repeated, "key")
+    dropped = (pairs.select("id", F.explode("suspects").alias("key")).join(often, "key")
                .where(~F.col("id").eqNullSafe(F.col("last")))
                .groupBy("id").agg(F.collect_set("key").alias("gone"))
                .withColumnRenamed("id", "gone_id"))

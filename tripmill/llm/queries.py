@@ -11,6 +11,7 @@ from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
 from tripmill.llm.neighbours import nearest
 from tripmill.llm.pieces import decode_pieces, encode_pieces
+from tripmill.llm.repeats import cut_repeats
 from tripmill.llm.simhash import hex_of, near_duplicates
 from tripmill.llm.token_files import read_token_files, write_token_files
 from tripmill.llm.url_filter import judge_urls
@@ -45,6 +46,14 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("lang_pred"), "score", "rejected")
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document without those inside repeated stretches of 200 bytes."""
+    found = cut_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed",
+                        F.size("spans").cast("bigint").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines repeated in three or more documents stay only in the largest document id."""
     kept = dedup_lines(table(spark, sf_dir, "documents"))
@@ -103,6 +112,7 @@ QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_simhash": op2_simhash,
     "op3_language": op3_language,
+    "op4_repeats": op4_repeats,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
