@@ -312,14 +312,103 @@ def test_incremental_skips_old_rows_unless_looked_back_for(spark, tmp_path):
     assert keyed(spark, name) == [(1, 1, "a"), (2, 4, "a"), (5, 3, "late"), (6, 5, "new")]
 
 
-def test_in_partitions_beyond_the_list_bound(spark, tmp_path, monkeypatch):
-    df = dated(spark, *[(i, i, "x") for i in range(6)])
-    wanted = dated(spark, (0, 1, ""), (0, 2, ""), (0, 3, ""))
-    few = tables.in_partitions(df, "day", wanted)
-    monkeypatch.setattr(tables, "LISTED_PARTITIONS", 2)
-    many = tables.in_partitions(df, "day", wanted)
-    assert few.count() == many.count() == 3
-    assert "Join" not in plan_of(few) and "LeftSemi" in plan_of(many)
+def test_in_partitions_prunes_and_keeps_the_null_one(spark, tmp_path):
+    rows = dated(spark, *[(i, i, "x") for i in range(6)])
+    undated = rows.limit(1).withColumns({"ts": F.lit(None).cast("timestamp"),
+                                         "day": F.lit(None).cast("date")})
+    name = stored(spark, tmp_path, rows.unionByName(undated))
+    wanted = dated(spark, (0, 1, ""), (0, 2, "")).unionByName(undated)
+    few = tables.in_partitions(spark.table(name), "day", wanted)
+    assert few.count() == 3
+    assert "day" in next(s for s in scans_of(few) if s.startswith("PartitionFilters"))
+    assert "Join" not in plan_of(few)
+
+
+def undated(spark, *rows):
+    """Rows of key and value without a date."""
+    return spark.createDataFrame([(k, None, v, None) for k, v in rows],
+                                 "k int, ts timestamp, v string, day date")
+
+
+STRATEGIES = {
+    "upsert": lambda rows, name: tables.upsert(rows, name, ["k"], "day"),
+    "delete_insert": lambda rows, name: tables.delete_insert(rows, name, ["k"], "day"),
+    "fixed": lambda rows, name: tables.upsert(rows, name, ["k"], "day",
+                                              key_fixes_partition=True),
+}
+
+
+def held(spark, name):
+    return sorted((r.k, r.day and r.day.day, r.v) for r in spark.table(name).collect())
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_merges_of_many_partitions_leave_the_others(spark, tmp_path, strategy):
+    old = dated(spark, *[(i, i % 25, "old") for i in range(75)])
+    name = stored(spark, tmp_path, old)
+    fresh = [(i, i % 25, "new") for i in range(75) if i % 25 < 14]
+    STRATEGIES[strategy](dated(spark, *fresh), name)
+    assert held(spark, name) == sorted(
+        (i, i % 25 + 1, "new" if i % 25 < 14 else "old") for i in range(75))
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_merges_keep_rows_without_a_date(spark, tmp_path, strategy):
+    before = dated(spark, (1, 0, "old"), (2, 1, "old")).unionByName(
+        undated(spark, (3, "old"), (4, "old"), (5, "old")))
+    name = stored(spark, tmp_path, before)
+    for _ in range(2):
+        STRATEGIES[strategy](undated(spark, (4, "new"), (9, "new")), name)
+    assert held(spark, name) == [(1, 1, "old"), (2, 2, "old"), (3, None, "old"),
+                                 (4, None, "new"), (5, None, "old"), (9, None, "new")]
+
+
+def test_emptied_null_partition_is_dropped_and_stays_empty(spark, tmp_path):
+    name = stored(spark, tmp_path, dated(spark, (1, 0, "old")).unionByName(
+        undated(spark, (2, "old"))))
+    tables.upsert(dated(spark, (2, 0, "new")), name, ["k"], "day")
+    assert held(spark, name) == [(1, 1, "old"), (2, 1, "new")]
+    tables.append_rows(undated(spark, (7, "new")), name)
+    assert held(spark, name) == [(1, 1, "old"), (2, 1, "new"), (7, None, "new")]
+
+
+def test_deleted_rows_do_not_come_back_with_an_append(spark, tmp_path):
+    name = stored(spark, tmp_path, dated(spark, *[(i, i % 3, "old") for i in range(9)]))
+    tables.replace_interval(dated(spark), name, "ts", "2020-01-02 00:00:00",
+                            "2020-01-03 00:00:00", "day")
+    tables.append_rows(dated(spark, (50, 1, "new")), name)
+    assert held(spark, name) == sorted([(i, i % 3 + 1, "old") for i in range(9) if i % 3 != 1]
+                                       + [(50, 2, "new")])
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_a_source_that_differs_when_read_twice_is_read_once(spark, tmp_path, strategy):
+    name = stored(spark, tmp_path, dated(spark, *[(i, i, "old") for i in range(8)]))
+    moving = spark.range(40).select(
+        F.col("id").cast("int").alias("k"),
+        F.expr("timestamp'2020-01-01' + make_interval(0, 0, 0, cast(rand() * 8 as int))")
+        .alias("ts"), F.lit("new").alias("v")).withColumn("day", F.to_date("ts"))
+    STRATEGIES[strategy](moving, name)
+    found = held(spark, name)
+    assert sorted(k for k, _, v in found if v == "new") == list(range(40))
+
+
+def test_bound_reads_the_newest_partition(spark, tmp_path):
+    name = stored(spark, tmp_path, dated(spark, *[(i, i, "x") for i in range(9)]).unionByName(
+        undated(spark, (99, "x"))))
+    assert tables.newest_in(spark, name, "ts", "day").date() == date(2020, 1, 9)
+    bound = spark.table(name).where("day = date'2020-01-09'").agg(F.max("ts"))
+    assert any("2020-01-09" in s for s in scans_of(bound) if s.startswith("PartitionFilters"))
+
+
+def test_swaps_leave_one_former_version(spark, tmp_path):
+    name = table_name("s")
+    tables.create_as(spark.range(4), name, str(tmp_path / name))
+    for n in (5, 6, 7):
+        tables.swap(spark.range(n), name)
+    assert spark.table(name).count() == 7
+    kept = sorted(p.name for p in tmp_path.iterdir() if p.name.startswith(name))
+    assert kept == [f"{name}-version-2", f"{name}-version-3"]
 
 
 def test_load_file_twice_is_once(spark, tmp_path):

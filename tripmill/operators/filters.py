@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from typing import Any
+
 from pyspark.sql import DataFrame, functions as F
 
 # Bound used when the target has no rows; leaves room for a lookback.
@@ -47,3 +49,11 @@ def newer_than(source: DataFrame, target: DataFrame, ts: str,
     if date_col:
         kept = kept.where(F.col(date_col) >= target.agg(F.to_date(newest)).scalar())
     return kept
+
+
+def later_than(source: DataFrame, ts: str, newest: Any, lookback: timedelta | None = None,
+               date_col: str | None = None) -> DataFrame:
+    """Source rows later than a known newest value, moved back by ``lookback``."""
+    bound = newest - lookback if lookback else newest
+    kept = source.where(F.col(ts) > F.lit(bound))
+    return kept.where(F.col(date_col) >= F.to_date(F.lit(bound))) if date_col else kept

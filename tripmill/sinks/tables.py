@@ -5,27 +5,32 @@ time. Partitioned tables are changed by dynamic partition overwrite, which stage
 swaps whole partitions at commit. Lost tasks and jobs that fail before the commit leave the old
 files in place. The swap itself is not atomic: a driver lost during it can lose a partition that is
 being swapped, so keep a copy or a table format with transactions where that matters.
-Unpartitioned tables are written to a fresh directory and the table is pointed at it.
+Unpartitioned tables are written to a fresh version beside the former one and pointed at it.
+
+A merge first stores its source in the shared folder and works on that copy alone, so rows cannot
+differ between the steps. Which partitions it touches comes from their values, as does which of them
+end up without rows; those are deleted with their files. A null partition value is a value like any
+other. Partition values are held on the driver, as the catalog itself does; rows never are.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import timedelta
-from urllib.parse import unquote
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tripmill.operators import merge
 from tripmill.operators.dedupe import keep_first
-from tripmill.operators.filters import newer_than
-from tripmill.operators.joins import lookup_join
+from tripmill.operators.filters import half_open, later_than
 from tripmill.operators.skew import filter_join
 from tripmill.session import workspace
 
-# Above this many changed partitions, a join picks them instead of a literal list.
-LISTED_PARTITIONS = 10_000
+# Fixed value: directory name of the null partition.
+NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -95,14 +100,41 @@ def append_rows(df: DataFrame, table: str) -> None:
 def swap(df: DataFrame, table: str) -> None:
     """Replace an unpartitioned table, also by rows read from it.
 
-    Rows go to a fresh directory and the table is then pointed there, so a reader sees either
-    the old or the new rows.
+    Rows go to a new version beside the table's present directory and the table is then pointed
+    there, so a reader sees either the old or the new rows. Only the version before is kept, for
+    readers that have already begun.
     """
     spark = df.sparkSession
-    path = workspace(spark, table)
-    df.write.mode("errorifexists").parquet(path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    stem, number = _version(_location(spark, table))
+    df.write.mode("errorifexists").parquet(_versioned(stem, number + 1))
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_versioned(stem, number + 1)}'")
     spark.catalog.refreshTable(table)
+    if number:
+        _delete(spark, _versioned(stem, number - 1))
+
+
+def _location(spark: SparkSession, table: str, partition: str = "") -> str:
+    """Directory of a table, or of one partition given as a specification."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").collect()
+    names = [r["col_name"] for r in rows]
+    part = "# Detailed Partition Information" if partition else "# Detailed Table Information"
+    return rows[names.index("Location", names.index(part))]["data_type"]
+
+
+def _version(path: str) -> tuple[str, int]:
+    found = re.fullmatch(r"(.*)-version-(\d+)", path.rstrip("/"))
+    return (found[1], int(found[2])) if found else (path.rstrip("/"), 0)
+
+
+def _versioned(stem: str, number: int) -> str:
+    return f"{stem}-version-{number}" if number else stem
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a directory through the file system its address names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.delete(hadoop_path, True)
 
 
 @contextmanager
@@ -125,16 +157,28 @@ def overwrite_partitions(df: DataFrame, table: str, partition: str) -> None:
 
 
 def in_partitions(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
-    """Rows in the partitions that occur in ``wanted``.
+    """Rows in the partitions that occur in ``wanted``, the null one included.
 
-    A bounded list becomes a literal filter that prunes directories while planning; a longer
-    one becomes a semi join.
+    The values become a literal filter, which prunes directories while planning.
     """
-    distinct = wanted.select(partition).distinct()
-    listed = distinct.limit(LISTED_PARTITIONS + 1).collect()
-    if len(listed) > LISTED_PARTITIONS:
-        return lookup_join(df, distinct, partition, "left_semi")
-    return df.where(F.col(partition).isin([r[0] for r in listed]))
+    return _of_values(df, partition, _values(wanted, partition))
+
+
+def _values(df: DataFrame, partition: str) -> list[Any]:
+    return [r[0] for r in df.select(partition).distinct().collect()]
+
+
+def _of_values(df: DataFrame, partition: str, values: Sequence[Any]) -> DataFrame:
+    listed = [v for v in values if v is not None]
+    wanted = F.col(partition).isin(listed)
+    return df.where(wanted | F.col(partition).isNull() if len(listed) < len(values) else wanted)
+
+
+def _stored(source: DataFrame, label: str) -> DataFrame:
+    """The rows, computed once and kept in the shared folder for the rest of the merge."""
+    path = workspace(source.sparkSession, label)
+    source.write.parquet(path)
+    return source.sparkSession.read.schema(source.schema).parquet(path)
 
 
 def insert_new(source: DataFrame, table: str, keys: Sequence[str], dedupe_source: bool = False,
@@ -153,29 +197,26 @@ def upsert(source: DataFrame, table: str, keys: Sequence[str], partition: str,
     by a scan of key and partition columns alone, which ``key_fixes_partition`` skips when equal
     keys always have the same partition value.
     """
-    _merge_partitions(source, table, keys, partition, order, key_fixes_partition, merge.upsert)
+    rows = keep_first(source, keys, order) if order else source
+    _merge_partitions(rows, table, keys, partition, key_fixes_partition, merge.upsert)
 
 
 def delete_insert(source: DataFrame, table: str, keys: Sequence[str], partition: str,
                   key_fixes_partition: bool = False) -> None:
     """Delete matching keys and insert every source row, partition by partition."""
-    def strategy(target, rows, by, order):
-        return merge.delete_insert(target, rows, by)
-    _merge_partitions(source, table, keys, partition, (), key_fixes_partition, strategy)
+    _merge_partitions(source, table, keys, partition, key_fixes_partition, merge.delete_insert)
 
 
 def _merge_partitions(source: DataFrame, table: str, keys: Sequence[str], partition: str,
-                      order: Sequence[str | Column], key_fixes_partition: bool,
-                      strategy: Callable[..., DataFrame]) -> None:
-    spark = source.sparkSession
-    target = spark.table(table)
-    changed = source.select(partition)
+                      key_fixes_partition: bool, strategy: Callable[..., DataFrame]) -> None:
+    target = source.sparkSession.table(table)
+    source = _stored(source, "merge-source")
+    changed = _values(source, partition)
     if not key_fixes_partition:
         matched = filter_join(target.select(*{*keys, partition}), source, keys, "left_semi")
-        changed = changed.unionByName(matched.select(partition))
-    touched = in_partitions(target, partition, changed)
-    result = strategy(touched, source, keys, order)
-    _replace(result, table, partition, touched)
+        changed = list({*changed, *_values(matched, partition)})
+    touched = _of_values(target, partition, changed)
+    _replace(strategy(touched, source, keys), table, partition, touched)
 
 
 def replace_interval(source: DataFrame, table: str, ts: str, start: str, end: str,
@@ -188,6 +229,7 @@ def replace_interval(source: DataFrame, table: str, ts: str, start: str, end: st
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     touched = spark.table(table).where(
         F.col(partition).between(F.to_date(first), F.to_date(last)))
+    source = _stored(half_open(source, ts, start, end), "interval-source")
     result = merge.replace_interval(touched, source, ts, start, end, partition)
     _replace(result, table, partition, touched)
 
@@ -202,8 +244,9 @@ def incremental(source: DataFrame, table: str, ts: str, keys: Sequence[str], par
         rows = keep_first(source, keys, order) if order else source
         overwrite_partitions(rows, table, partition)
         return
-    newer = newer_than(source, target, ts, lookback, partition)
-    upsert(newer, table, keys, partition, order, key_fixes_partition)
+    newest = newest_in(spark, table, ts, partition)
+    newer = source if newest is None else later_than(source, ts, newest, lookback, partition)
+    upsert(newer.where(F.col(ts).isNotNull()), table, keys, partition, order, key_fixes_partition)
 
 
 def add_columns(source: DataFrame, table: str) -> None:
@@ -216,20 +259,45 @@ def add_columns(source: DataFrame, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
+def newest_in(spark: SparkSession, table: str, ts: str, partition: str) -> Any:
+    """Largest ``ts`` of a table partitioned by the date of ``ts``; reads its newest partition.
+
+    The next older one is read only where the newest has no such value.
+    """
+    target = spark.table(table)
+    kind = target.schema[partition].dataType
+    names = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    for name in sorted((n for n in names if n != NULL_DIRECTORY), reverse=True):
+        rows = target.where(F.col(partition) == F.lit(name).cast(kind))
+        newest = rows.agg(F.max(ts)).first()[0]
+        if newest is not None:
+            return newest
+    return None
+
+
 def _replace(result: DataFrame, table: str, partition: str, touched: DataFrame) -> None:
-    """Write the new content of touched partitions and drop those left without rows.
+    """Write the new content of touched partitions and delete those left without rows.
 
-    Dynamic overwrite leaves a partition alone when no row arrives for it. Every partition that
-    did get rows has new files, so an old file that is still listed marks an emptied partition.
+    Dynamic overwrite leaves a partition alone when no row arrives for it. Both lists of values
+    are taken before anything is written; only key and partition columns are read for them.
     """
-    spark = result.sparkSession
-    before = set(touched.inputFiles())
+    emptied = set(_values(touched, partition)) - set(_values(result, partition))
     overwrite_partitions(result, table, partition)
-    after = set(spark.table(table).inputFiles()) if before else set()
-    values = {_partition_value(f, partition) for f in before & after}
-    for value in sorted(values):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = '{value}')")
+    for value in emptied:
+        drop_partition(result.sparkSession, table, partition, value)
 
 
-def _partition_value(file: str, partition: str) -> str:
-    return unquote(file.split(f"/{partition}=")[1].split("/")[0])
+def drop_partition(spark: SparkSession, table: str, partition: str, value: Any) -> None:
+    """Delete a partition's files and its catalog entry.
+
+    Tables with a path of their own keep the files of a dropped partition, and a later append to
+    the same value would bring the old rows back.
+    """
+    text = "null" if value is None else f"'{value}'"
+    spec = f"PARTITION ({partition} = {text})"
+    path = _location(spark, table, spec)
+    if f"/{partition}=" not in path:
+        raise ValueError(f"{path} is not a directory of one {partition}")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+    _delete(spark, path)
+    spark.catalog.refreshTable(table)
