@@ -38,6 +38,8 @@ CACHED_WORDS = 600_000
 CACHED_CHARS = 48
 BATCH_BYTES = 16 << 20
 
+SPACE_SIGN = "Ġ"  # how the vocabulary writes a space
+
 _SPACE_RUN = re.compile(r" \s|\s ")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -54,19 +56,32 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(tokens.values()) + 1, bool)
+        self.spaced[[i for t, i in tokens.items() if t.startswith(SPACE_SIGN)]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _each(self, words: list[str]) -> list[bytes]:
-        """Ids of each word behind a space; one call, cut by the offsets of its tokens."""
-        found = self.tokenizer.encode("".join([" " + w for w in words]), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        offsets = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
-        ends = np.cumsum([len(w) + 1 for w in words])
-        cuts = [0, *np.searchsorted(offsets, ends).tolist()]
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        """Ids of each word behind a space, from one call.
+
+        A word without further spaces has just one token that begins with a space, its first.
+        """
+        if not words:
+            return []
+        text = "".join([" " + w for w in words])
+        if text.count(" ") > len(words):
+            return [self._encoded(" " + w) for w in words]
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
+                       "<u4")
+        raw = ids.tobytes()
+        cuts = [*(4 * np.flatnonzero(self.spaced[ids])).tolist(), len(raw)]
+        if len(cuts) != len(words) + 1:
+            return [self._encoded(" " + w) for w in words]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -80,11 +95,13 @@ class WordEncoder:
         last = " " + words.pop() if words and words[-1][-1:].isspace() else ""
         parts = list(map(self.known.get, words))
         if None in parts:
-            missing = list({w for w, p in zip(words, parts) if p is None})
-            found = dict(zip(missing, self._each(missing)))
+            missing = {w for w, p in zip(words, parts) if p is None}
+            found = {w: self.older[w] for w in missing & self.older.keys()}
+            new = list(missing - found.keys())
+            found.update(zip(new, self._each(new)))
             parts = [found[w] if p is None else p for w, p in zip(words, parts)]
             if len(self.known) > CACHED_WORDS:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known.update((w, p) for w, p in found.items() if len(w) <= CACHED_CHARS)
         return b"".join([self._encoded(first), *parts, self._encoded(last)])
 
