@@ -154,6 +154,40 @@ def test_single_file_keeps_parallel_aggregation(spark, tmp_path):
     assert len([n for n in names_in(tmp_path / "one") if n.endswith(".parquet")]) == 1
 
 
+def test_typed_csv_goes_by_the_header_of_each_file(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    csv_file(tmp_path / "in" / "1.csv", "a,b", "1,x", "no,y")
+    csv_file(tmp_path / "in" / "2.csv", "B,surplus,A", 'p,"q,r",7', ",,")
+    with gzip.open(tmp_path / "in" / "3.csv.gz", "wt") as out_file:
+        out_file.write("b\nonly\n")
+    (tmp_path / "in" / "4.csv").write_text("")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    got = files.csv_typed(spark, str(tmp_path / "in"), schema, unparsed="bad")
+    assert rows(got.select("a", "b", F.size("bad"))) == [
+        (None, None, 0), (None, "only", 0), (None, "y", 1), (1, "x", 0), (7, "p", 0)]
+    assert rows(got.where("size(bad) > 0").select(F.element_at("bad", 1))) == [("a",)]
+
+
+def test_ingest_joins_uneven_months(spark, tmp_path):
+    at = datetime(2019, 1, 5)
+    def month(n, ddl, *values):
+        spark.createDataFrame([values], ddl).write.parquet(
+            files.month_path(str(tmp_path), "yellow", 2019, n))
+    month(1, "tpep_pickup_datetime timestamp, passenger_count bigint, PULocationID int", at, 2, 7)
+    month(2, "tpep_pickup_datetime timestamp, passenger_count double, airport_fee double",
+          at, 3.0, 1.25)
+    month(3, "TPEP_pickup_datetime timestamp, Passenger_Count double, Airport_fee double",
+          at, None, 2.5)
+    (tmp_path / files.MONTH_FILE.format(service="yellow", year=2019, month=4)).write_text("broken")
+    got = files.ingest_months(spark, str(tmp_path), ["yellow"], "2019-01-01", "2019-05-31")
+    found = got.trips.select("passenger_count", "pulocation_id", "airport_fee", "taxi_type")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(2, 7, None, "yellow"), (3, None, 1.25, "yellow"), (None, None, 2.5, "yellow")], key=str)
+    assert [p[-15:] for p in got.skipped] == ["2019-04.parquet", "2019-05.parquet"]
+    assert set(schemas.INGESTED.names) <= set(got.trips.columns)
+    assert plan_of(got.trips).count("FileScan parquet") == 3
+
+
 def test_csv_months_are_converted_once(spark, tmp_path):
     header = ",".join(schemas.GREEN_COLUMNS)
     for month in (1, 2):

@@ -36,56 +36,54 @@ def by_month(df):
     return df.hint("rebalance", "year", "month")
 
 
-@query("src_csv_header", """
-SELECT CAST(VendorID AS VARCHAR) AS VendorID, CAST(PULocationID AS VARCHAR) AS PULocationID,
-  CAST(lpep_pickup_datetime AS VARCHAR) AS lpep_pickup_datetime, store_and_fwd_flag FROM green""")
+@query("src_csv_header", "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM green")
 def src_csv_header(spark, d):
     path = csv_of(spark, adapters.green(spark, d), "csv-header")
-    return files.csv_text(spark, path).select(
-        "VendorID", "PULocationID", "lpep_pickup_datetime", "store_and_fwd_flag")
+    return files.csv_text(spark, path)
+
+
+def _shuffled(df, *surplus):
+    """The columns in reverse order, with others in between."""
+    columns = [F.col(c) for c in reversed(df.columns)]
+    return df.select(*[F.lit("surplus, quoted").alias(c) for c in surplus], *columns)
 
 
 @query("src_csv_schema", "SELECT * FROM hvfhv")
 def src_csv_schema(spark, d):
-    path = csv_of(spark, adapters.hvfhv(spark, d), "csv-schema")
+    """The file has its columns in another order than the schema, and more of them."""
+    path = csv_of(spark, _shuffled(adapters.hvfhv(spark, d), "more"), "csv-schema")
     return files.csv_typed(spark, path, schemas.HVFHV)
 
 
 @query("src_csv_typed", "SELECT * FROM yellow")
 def src_csv_typed(spark, d):
-    path = csv_of(spark, adapters.yellow(spark, d), "csv-typed")
-    return files.csv_typed(spark, path, schemas.YELLOW)
+    """Two folders of files whose headers differ in order and in surplus columns."""
+    rows, root = adapters.yellow(spark, d), workspace(spark, "csv-typed")
+    write_csv(rows.where("PULocationID % 2 = 0"), f"{root}/a")
+    write_csv(_shuffled(rows.where("NOT PULocationID % 2 = 0 OR PULocationID IS NULL"), "x", "y"),
+              f"{root}/b")
+    return files.csv_typed(spark, f"{root}/*/*.csv", schemas.YELLOW)
 
 
-@query("src_csv_infer", """
-SELECT VendorID, tpep_pickup_datetime, store_and_fwd_flag, PULocationID, trip_distance,
-  fare_amount, total_amount FROM yellow""")
+@query("src_csv_infer", "SELECT * FROM yellow")
 def src_csv_infer(spark, d):
     path = csv_of(spark, adapters.yellow(spark, d), "csv-infer")
-    return files.csv_inferred(spark, path).select(
-        "VendorID", "tpep_pickup_datetime", "store_and_fwd_flag", "PULocationID",
-        "trip_distance", "fare_amount", "total_amount")
+    return files.csv_inferred(spark, path)
 
 
-@query("src_csv_gzip_glob", """
-SELECT VendorID, tpep_pickup_datetime, PULocationID, total_amount FROM yellow""")
+@query("src_csv_gzip_glob", "SELECT * FROM yellow")
 def src_csv_gzip_glob(spark, d):
     dated = adapters.yellow(spark, d).withColumn("year", F.year("tpep_pickup_datetime"))
     path = csv_of(spark, dated.hint("rebalance", "year"), "csv-gzip", codec="gzip",
                   partitions=["year"])
-    return files.csv_gzip(spark, f"{path}/year=*/*.csv.gz", schemas.YELLOW).select(
-        "VendorID", "tpep_pickup_datetime", "PULocationID", "total_amount")
+    return files.csv_gzip(spark, f"{path}/year=*/*.csv.gz", schemas.YELLOW)
 
 
-@query("src_csv_external_schema", """
-SELECT VendorID, lpep_pickup_datetime, total_amount, payment_type, trip_type,
-  congestion_surcharge FROM green""")
+@query("src_csv_external_schema", "SELECT * FROM green")
 def src_csv_external_schema(spark, d):
     wider = adapters.green(spark, d).withColumn("surplus", F.lit("ignored"))
     path = csv_of(spark, wider, "csv-external")
-    return files.csv_external(spark, path, schemas.GREEN).select(
-        "VendorID", "lpep_pickup_datetime", "total_amount", "payment_type", "trip_type",
-        "congestion_surcharge")
+    return files.csv_external(spark, path, schemas.GREEN)
 
 
 @query("src_copy_in_columns", """

@@ -57,11 +57,11 @@ def csv_months_to_parquet(spark: SparkSession, raw_root: str, out_root: str, ser
         return []
 
     def from_path(group: int) -> Column:
-        return F.regexp_extract(F.col("_metadata.file_path"), pattern, group).cast("int")
+        return F.regexp_extract(F.col("_file"), pattern, group).cast("int")
 
-    dated = csv_typed(spark, list(todo.values()), schemas.RAW[service]).select(
-        "*", F.lit(service).alias("service_type"), from_path(1).alias("year"),
-        from_path(2).alias("month"))
+    rows = csv_typed(spark, list(todo.values()), schemas.RAW[service], source_file="_file")
+    dated = rows.select("*", F.lit(service).alias("service_type"), from_path(1).alias("year"),
+                        from_path(2).alias("month")).drop("_file")
     keys = ["service_type", "year", "month"]
     (dated.hint("rebalance", *keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(out_root))

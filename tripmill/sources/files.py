@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tripmill import schemas
 from tripmill.functions.temporal import month_list
@@ -26,11 +29,67 @@ def csv_inferred(spark: SparkSession, path: str | Sequence[str],
             .option("samplingRatio", sampling).csv(path))
 
 
+def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names of the header lines, each with the files that begin with it.
+
+    Reads the first line of every file, compressed or not, and nothing else.
+    """
+    hadoop = spark._jsc.hadoopConfiguration()
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(hadoop)
+    java = spark._jvm.java.io
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.text(path).inputFiles():
+        name = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        stream = name.getFileSystem(hadoop).open(name)
+        codec = codecs.getCodec(name)
+        lines = java.BufferedReader(java.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        line = lines.readLine()
+        lines.close()
+        if line is not None:
+            names = tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
+            found.setdefault(names, []).append(file)
+    return found
+
+
 def csv_typed(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-              timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
-    """CSV with a declared schema; values that do not parse become null."""
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .option("timestampFormat", timestamp_format).schema(schema).csv(path))
+              timestamp_format: str = TIMESTAMP_FORMAT, unparsed: str | None = None,
+              source_file: str | None = None) -> DataFrame:
+    """CSV matched to a declared schema by the names in each file's header.
+
+    Files may have their columns in different orders: there is one scan for each distinct header.
+    Columns a file lacks are null, surplus ones are not read. Values that do not parse become null;
+    ``unparsed`` names a column that lists the columns in which that happened, ``source_file`` one
+    with the path of the row's file.
+    """
+    def typed(field: T.StructField, names: tuple[str, ...]) -> tuple[Column, Column]:
+        at = next((i for i, n in enumerate(names) if n.lower() == field.name.lower()), None)
+        if at is None:
+            return F.lit(None).cast(field.dataType).alias(field.name), F.lit(None).cast("string")
+        text = F.col(f"_{at}")
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            value = F.try_to_timestamp(text, F.lit(timestamp_format)).cast(field.dataType)
+        else:
+            value = text.try_cast(field.dataType)
+        failed = F.when(text.isNotNull() & value.isNull(), F.lit(field.name))
+        return value.alias(field.name), failed
+
+    result = empty(spark, T.StructType(
+        [*schema.fields, *([T.StructField(unparsed, T.ArrayType(T.StringType()))]
+                           if unparsed else []),
+         *([T.StructField(source_file, T.StringType())] if source_file else [])]))
+    for names, paths in csv_headers(spark, path).items():
+        text = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
+        rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").schema(text)
+                .csv(paths))
+        columns = [typed(f, names) for f in schema.fields]
+        values = [c for c, _ in columns]
+        if unparsed:
+            values.append(F.array_compact(F.array(*[f for _, f in columns])).alias(unparsed))
+        if source_file:
+            values.append(F.col("_metadata.file_path").alias(source_file))
+        result = result.unionByName(rows.select(*values))
+    return result
 
 
 def csv_external(spark: SparkSession, path: str | Sequence[str],
@@ -95,7 +154,7 @@ def month_path(root: str, service: str, year: int, month: int,
 
 @dataclass(frozen=True)
 class Ingest:
-    """Trips of several months, and the files that were not there."""
+    """Trips of several months, and the files that were not there or could not be read."""
 
     trips: DataFrame
     skipped: list[str]
@@ -105,29 +164,48 @@ def ingest_months(spark: SparkSession, root: str, services: Iterable[str],
                   first: str | date, last: str | date, template: str = MONTH_FILE) -> Ingest:
     """Trips of all services and months in a closed range, in the ingestion schema.
 
-    The files of a service are read as one scan. A missing file is reported, not an error; with
-    no file at all the result is empty but has the full schema.
+    Published months differ in column types and in the case of names, so files are grouped by the
+    schema in their footer: one scan for each distinct schema, cast to the ingestion schema. A file
+    that is missing or whose footer cannot be read is reported, not an error; with no file at all
+    the result is empty but has the full schema.
     """
-    frames, skipped = [], []
+    result, skipped = empty(spark, schemas.INGESTED), []
     for service in services:
-        wanted = [month_path(root, service, y, m, template)
-                  for y, m in month_list(first, last)]
-        present = [p for p in wanted if path_exists(spark, p)]
-        skipped += [p for p in wanted if p not in set(present)]
-        if present:
-            raw = parquet_by_name(spark, present)
-            frames.append(raw.withColumnsRenamed(schemas.INGESTED_NAMES)
-                          .withColumn("taxi_type", F.lit(service)))
-    result = empty(spark, schemas.INGESTED)
-    for frame in frames:
-        result = result.unionByName(_as_ingested(frame), allowMissingColumns=True)
+        alike: dict[str, tuple[T.StructType, list[str]]] = {}
+        for y, m in month_list(first, last):
+            path = month_path(root, service, y, m, template)
+            schema = footer_schema(spark, path) if path_exists(spark, path) else None
+            if schema is None:
+                skipped.append(path)
+            else:
+                alike.setdefault(schema.json(), (schema, []))[1].append(path)
+        for schema, paths in alike.values():
+            rows = spark.read.schema(schema).parquet(*paths)
+            result = result.unionByName(
+                _as_ingested(rows).withColumn("taxi_type", F.lit(service)),
+                allowMissingColumns=True)
     return Ingest(result, skipped)
 
 
+def footer_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema of a Parquet file or folder; None if it cannot be read."""
+    try:
+        return spark.read.parquet(path).schema
+    except (PySparkException, Py4JJavaError):
+        return None
+
+
 def _as_ingested(frame: DataFrame) -> DataFrame:
-    known = {f.name: f.dataType for f in schemas.INGESTED.fields}
-    return frame.select(*[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c)
-                          for c in frame.columns])
+    """Columns by their ingestion names and types, whatever their case."""
+    known = {f.name.lower(): f for f in schemas.INGESTED.fields}
+    names = {k.lower(): v for k, v in schemas.INGESTED_NAMES.items()}
+    columns = []
+    for c in frame.columns:
+        name = names.get(c.lower(), c)
+        field = known.get(name.lower())
+        columns.append(F.col(f"`{c}`").try_cast(field.dataType).alias(field.name) if field
+                       else F.col(f"`{c}`").alias(name.lower()))
+    return frame.select(*columns)
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
