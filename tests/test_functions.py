@@ -119,3 +119,26 @@ def test_months_step_on_month_starts(spark):
 @pytest.mark.parametrize("label,want", [("2020-01-05", "2020-01"), ("1999-12-31", "1999-12")])
 def test_month_label(spark, label, want):
     assert one(spark, m=temporal.month_label(F.lit(label).cast("date"))).m == want
+
+
+def test_exact_sums_of_finer_values_and_of_nan(spark):
+    from tripmill.functions.exact import exact_avg, exact_sum
+    df = spark.range(100_000).select(F.lit(0.00004).alias("v"), F.lit(0.1).alias("m"))
+    row = df.agg(exact_sum("v"), exact_avg("v"), exact_sum("m")).first()
+    assert row[0] == pytest.approx(4.0, rel=1e-12) and row[1] == pytest.approx(0.00004, rel=1e-12)
+    assert row[2] == 10_000.0
+    odd = spark.createDataFrame([(1.0, float("nan")), (2.0, 1e300), (None, 1.5)],
+                                "a double, b double")
+    a, b = odd.agg(exact_sum("a"), exact_sum("b")).first()
+    assert a == 3.0 and b != b
+    assert odd.where("b > 1e200 AND b = b").agg(exact_sum("b")).first()[0] != 0
+    assert odd.where("false").agg(exact_sum("a")).first()[0] is None
+
+
+def test_number_text_keeps_every_digit(spark):
+    from tripmill.functions.keys import number_text
+    values = [12.5, 10.0, 0.0, 0.00004, -3.25, 1.23456, 1e7, 1e30, None, 0.1 + 0.2]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(number_text("v")).collect()] == [
+        "12.5", "10", "0", "0.00004", "-3.25", "1.23456", "10000000", "1.0E30", None,
+        "0.30000000000000004"]

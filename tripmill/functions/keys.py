@@ -11,13 +11,17 @@ NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
 
 def number_text(col: Column | str) -> Column:
-    """Shortest text of a double with at most four decimals: ``12.5``, ``10``, ``0``.
+    """Shortest text of a double without an exponent: ``12.5``, ``10``, ``0``, ``0.00004``.
 
-    Engines print doubles differently (``1.0E7``), so the text goes through a decimal.
+    Engines print doubles differently (``1.0E7``), so the text goes through a decimal of 18 places,
+    which holds every digit of the shortest text. Doubles that do not fit it keep their own text.
     """
-    digits = F.col(col) if isinstance(col, str) else col
-    digits = digits.cast("decimal(18,4)").cast("string")
-    return F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
+    value = F.col(col) if isinstance(col, str) else col
+    exact = value.try_cast("decimal(38,18)")
+    digits = F.rtrim(F.rtrim(exact.cast("string"), F.lit("0")), F.lit("."))
+    digits = F.when(digits == "0E-18", F.lit("0")).otherwise(digits)
+    return F.when(exact.try_cast("double") == value.cast("double"), digits).otherwise(
+        value.cast("string"))
 
 
 def _text(col: Column | str, null: str) -> Column:
