@@ -25,7 +25,7 @@ class Stream:
     """A folder of event files that a query reads one per micro-batch."""
 
     def __init__(self, spark, root):
-        self.spark, self.root, self.count = spark, root, 0
+        self.spark, self.root, self.count = rides.stream_session(spark, rides.INSTANCES), root, 0
         (root / "in").mkdir()
 
     def arrive(self, *batch):
@@ -37,10 +37,9 @@ class Stream:
         return rides.source(self.spark, str(self.root / "in"), files_per_batch=1)
 
     def run(self, df, mode, sink):
-        with rides.parallelism(self.spark):
-            query = rides.writer(df, str(self.root / "checkpoint"), mode, bounded=True) \
-                .foreachBatch(sink).start()
-            query.awaitTermination()
+        query = rides.writer(df, str(self.root / "checkpoint"), mode, bounded=True) \
+            .foreachBatch(sink).start()
+        query.awaitTermination()
         return query
 
 
@@ -143,15 +142,29 @@ def test_source_starts(spark, tmp_path):
         rides.source(spark, str(tmp_path), start="latest")
 
 
-def test_progress_counts_rows(spark, stream):
-    stream.arrive(event(0), event(1))
-    stream.arrive(event(2))
-    query = stream.run(rides.passed_through(stream.source()), "append",
-                       lambda df, i: df.write.format("noop").mode("overwrite").save())
-    assert rides.progress_rows(query) == 3
+def test_rows_are_counted_beyond_a_hundred_batches(spark, stream):
+    for n in range(130):
+        stream.arrive(*[event(n)] * (1 + n % 2))
+    with rides.counting(stream.spark) as counter:
+        query = stream.run(rides.passed_through(stream.source()), "append",
+                           lambda df, i: df.write.format("noop").mode("overwrite").save())
+        assert counter.rows(query) == 195
+    assert len(query.recentProgress) <= 100
 
 
-def test_parallelism_sets_state_partitions_and_is_put_back(spark, stream, hourly_sink):
+def test_merges_of_a_stream_run_in_a_wide_session(spark, stream, hourly_sink, monkeypatch):
+    seen = {}
+    def upsert(rows, *args, **kwargs):
+        conf = rows.sparkSession.conf
+        seen["width"] = conf.get("spark.sql.shuffle.partitions")
+        seen["adaptive"] = conf.get("spark.sql.adaptive.enabled")
+    monkeypatch.setattr(rides.tables, "upsert", upsert)
+    stream.arrive(event(0))
+    stream.run(rides.hourly(stream.source()), "update", rides.upsert_sink(hourly_sink))
+    assert seen["adaptive"] == "true" and int(seen["width"]) > rides.INSTANCES
+
+
+def test_stream_session_sets_state_partitions_alone(spark, stream, hourly_sink):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     stream.arrive(event(0))
     query = stream.run(rides.hourly(stream.source()), "update", rides.upsert_sink(hourly_sink))

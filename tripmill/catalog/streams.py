@@ -25,11 +25,11 @@ SELECT * FROM ({_HOURLY}) WHERE window_start + INTERVAL 1 HOUR
   <= (SELECT make_timestamp(max(tpep_pickup_datetime) * 1000) FROM rides) - INTERVAL 5 SECOND"""
 
 
-def _events(spark, d):
-    """The rides as JSON lines, and a stream over them."""
+def _events(spark, d, instances=None):
+    """The rides as JSON lines, and a stream over them in a session of its own."""
     path = workspace(spark, "ride-events")
     publish(adapters.rides(spark, d), path)
-    return rides.source(spark, path)
+    return rides.source(rides.stream_session(spark, instances), path)
 
 
 def _run(query):
@@ -37,16 +37,15 @@ def _run(query):
     return query
 
 
-def _through_files(spark, df, label):
-    out = workspace(spark, label)
-    with rides.parallelism(spark):
-        _run(rides.to_files(df, out, workspace(spark, f"{label}-checkpoint"), bounded=True))
+def _through_files(spark, df, label, out=None, checkpoint=None):
+    out = out or workspace(spark, label)
+    _run(rides.to_files(df, out, checkpoint or workspace(spark, f"{label}-checkpoint"),
+                        bounded=True))
     return spark.read.schema(df.schema).parquet(out)
 
 
-def _through_batches(spark, df, checkpoint, mode, sink, instances=rides.INSTANCES):
-    with rides.parallelism(spark, instances):
-        _run(rides.writer(df, checkpoint, mode, bounded=True).foreachBatch(sink).start())
+def _through_batches(df, checkpoint, mode, sink):
+    _run(rides.writer(df, checkpoint, mode, bounded=True).foreachBatch(sink).start())
 
 
 @query("src_stream_json", "SELECT * FROM rides")
@@ -54,13 +53,44 @@ def src_stream_json(spark, d):
     return _through_files(spark, _events(spark, d), "stream-json")
 
 
-@query("src_stream_offsets", "SELECT count(*) AS n FROM rides")
+_HALVES = """
+, halves AS (SELECT *, tpep_pickup_datetime >= (SELECT (min(tpep_pickup_datetime)
+  + max(tpep_pickup_datetime)) // 2 FROM rides) AS later FROM rides)"""
+
+
+def _by_time(spark, d):
+    """Rides of the earlier and of the later half of the time they span."""
+    events = adapters.rides(spark, d)
+    at = F.col("tpep_pickup_datetime")
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    middle = F.lit((first + last) // 2 if first is not None else 0)
+    return events.where(at < middle), events.where(at >= middle)
+
+
+@query("src_stream_offsets", _HALVES + """
+SELECT later, count(*) AS n FROM halves GROUP BY 1""")
 def src_stream_offsets(spark, d):
-    path = workspace(spark, "ride-events")
-    publish(adapters.rides(spark, d), path)
-    stream = rides.source(spark, path, start="earliest", files_per_batch=4)
-    stored = _through_files(spark, stream, "stream-offsets")
-    return stored.agg(F.count(F.lit(1)).alias("n"))
+    """From the earliest file, then from where a checkpoint stands.
+
+    The second run must take only files that arrived in between. Starting from the latest offset
+    needs a broker: a folder has no such notion.
+    """
+    earlier, later = _by_time(spark, d)
+    path, out = workspace(spark, "ride-events"), workspace(spark, "stream-offsets")
+    checkpoint = workspace(spark, "offsets-checkpoint")
+    publish(earlier, path)
+    session = rides.stream_session(spark)
+    found = []
+    for is_later in (False, True):
+        if is_later:
+            later.select(F.to_json(F.struct("*"))).write.mode("append").text(path)
+        stream = rides.source(session, path, start="earliest", files_per_batch=4)
+        batch = f"{out}/{is_later}"
+        _run(rides.writer(stream, checkpoint, "append", bounded=True)
+             .foreachBatch(rides.append_sink(batch)).start())
+        found.append(spark.read.schema(stream.schema).parquet(batch)
+                     .withColumn("later", F.lit(is_later)))
+    return found[0].unionByName(found[1]).groupBy("later").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stm_pass_through", _PASSED)
@@ -86,11 +116,11 @@ def stm_tumbling(spark, d):
     return _keyed(spark, _events(spark, d), "tumbling")
 
 
-def _keyed(spark, stream, label, instances=rides.INSTANCES):
+def _keyed(spark, stream, label):
     name = table_name("hourly")
     rides.hourly_table(spark, name, workspace(spark, label))
-    _through_batches(spark, rides.hourly(stream), workspace(spark, f"{label}-checkpoint"),
-                     "update", rides.upsert_sink(name), instances)
+    _through_batches(rides.hourly(stream), workspace(spark, f"{label}-checkpoint"), "update",
+                     rides.upsert_sink(name))
     return spark.table(name).drop("window_date")
 
 
@@ -106,26 +136,46 @@ def stm_upsert_sink(spark, d):
     rides.hourly_table(spark, name, workspace(spark, "upsert"))
     checkpoint = workspace(spark, "upsert-checkpoint")
     arrivals = workspace(spark, "arrivals")
+    session = rides.stream_session(spark)
     for file in files:
         spark.read.text(file).write.mode("append").text(arrivals)
-        _through_batches(spark, rides.hourly(rides.source(spark, arrivals)), checkpoint,
-                         "update", rides.upsert_sink(name))
+        _through_batches(rides.hourly(rides.source(session, arrivals)), checkpoint, "update",
+                         rides.upsert_sink(name))
     return spark.table(name).drop("window_date")
 
 
-@query("stm_late_data", _CLOSED)
+_LATE = "DOLocationID % 7 = 0"
+
+
+@query("stm_late_data", _HALVES + f"""
+SELECT date_trunc('hour', make_timestamp(tpep_pickup_datetime * 1000)) AS window_start,
+  PULocationID, count(*) AS num_trips, {total('total_amount')} AS total_revenue
+FROM halves WHERE (later OR NOT coalesce({_LATE}, false))
+  AND date_trunc('hour', make_timestamp(tpep_pickup_datetime * 1000)) + INTERVAL 1 HOUR
+    <= (SELECT make_timestamp(max(tpep_pickup_datetime) * 1000) FROM rides) - INTERVAL 5 SECOND
+GROUP BY 1, 2""")
 def stm_late_data(spark, d):
-    """Events arrive unordered inside one batch: rows late within a batch are counted."""
-    path = workspace(spark, "ride-events")
-    publish(adapters.rides(spark, d).repartition(8, "PULocationID"), path)
-    return _through_files(spark, rides.hourly(rides.source(spark, path)), "late")
+    """Three arrivals: the earlier half without some rows, the later half, then those rows.
+
+    When they come, the watermark has passed their windows, so they are dropped and nothing else is.
+    """
+    earlier, later = _by_time(spark, d)
+    late = F.coalesce(F.expr(_LATE), F.lit(False))
+    path, out = workspace(spark, "ride-events"), workspace(spark, "late")
+    checkpoint, session = workspace(spark, "late-checkpoint"), rides.stream_session(spark)
+    for n, rows in enumerate((earlier.where(~late), later, earlier.where(late))):
+        mode = "append" if n else "errorifexists"
+        rows.select(F.to_json(F.struct("*"))).write.mode(mode).text(path)
+        found = _through_files(spark, rides.hourly(rides.source(session, path)), "late", out,
+                               checkpoint)
+    return found
 
 
 @query("stm_append_sink", _PASSED)
 def stm_append_sink(spark, d):
     out = workspace(spark, "append-sink")
     stream = rides.passed_through(_events(spark, d))
-    _through_batches(spark, stream, workspace(spark, "append-checkpoint"), "append",
+    _through_batches(stream, workspace(spark, "append-checkpoint"), "append",
                      rides.append_sink(out))
     return spark.read.parquet(out).drop("batch_id")
 
@@ -142,18 +192,19 @@ def stm_checkpoint(spark, d):
 
 @query("stm_parallelism", _HOURLY)
 def stm_parallelism(spark, d):
-    """State in another number of partitions; the result is the same."""
-    return _keyed(spark, _events(spark, d), "two-way", instances=2)
+    """State in the fixed number of partitions; the result is the same."""
+    return _keyed(spark, _events(spark, d, rides.INSTANCES), "three-way")
 
 
 @query("stm_row_consumer", "SELECT count(*) AS n_consumed FROM rides")
 def stm_row_consumer(spark, d):
-    """Rows consumed, from the progress the query itself reports."""
+    """Rows consumed, added up over all micro-batches the query reports."""
     stream = rides.passed_through(_events(spark, d))
-    done = _run(rides.to_files(stream, workspace(spark, "consumed"),
-                               workspace(spark, "consumed-checkpoint"), bounded=True))
-    return spark.range(1).select(
-        F.lit(rides.progress_rows(done)).cast("bigint").alias("n_consumed"))
+    with rides.counting(stream.sparkSession) as counter:
+        done = _run(rides.to_files(stream, workspace(spark, "consumed"),
+                                   workspace(spark, "consumed-checkpoint"), bounded=True))
+        consumed = counter.rows(done)
+    return spark.range(1).select(F.lit(consumed).cast("bigint").alias("n_consumed"))
 
 
 @query("stm_batch_twin", _HOURLY)

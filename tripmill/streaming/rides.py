@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tripmill import schemas
 from tripmill.functions.exact import exact_sum
 from tripmill.functions.temporal import from_epoch_ms
+from tripmill.session import ensure_session, workspace
 from tripmill.sinks import tables
 
 # Lateness bound, window length, checkpoint pace and parallel instances.
@@ -114,16 +116,17 @@ def upsert_sink(table: str) -> Callable[[DataFrame, int], None]:
     """Batch function that keeps the last value per window and zone in a keyed table.
 
     The table is partitioned by the date of the window, which the key fixes, so a batch rewrites
-    the dates of its windows only. Writing the same batch again changes nothing. The merge reads
-    the batch more than once, so its few aggregated rows are kept: the state is updated once.
+    the dates of its windows only. Writing the same batch again changes nothing. The batch is stored
+    in the shared folder, so the state is updated once, and merged by a session of its own: the
+    stream's session has the narrow width of its state and no adaptive planning.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        dated = batch.withColumn("window_date", F.to_date("window_start")).persist()
-        try:
-            tables.upsert(dated, table, ["window_start", "PULocationID"], "window_date",
-                          key_fixes_partition=True)
-        finally:
-            dated.unpersist()
+        path = workspace(batch.sparkSession, f"{table}-batch-{batch_id}")
+        dated = batch.withColumn("window_date", F.to_date("window_start"))
+        dated.write.parquet(path)
+        session = ensure_session(batch.sparkSession.newSession())
+        tables.upsert(session.read.schema(dated.schema).parquet(path), table,
+                      ["window_start", "PULocationID"], "window_date", key_fixes_partition=True)
     return write
 
 
@@ -136,19 +139,17 @@ def hourly_table(spark: SparkSession, table: str, path: str) -> None:
     tables.create_if_absent(spark, table, type(empty.schema)(fields[:-1]), path, fields[-1:])
 
 
-@contextmanager
-def parallelism(spark: SparkSession, instances: int = INSTANCES) -> Iterator[None]:
-    """Number of state partitions of the queries started inside.
+def stream_session(spark: SparkSession, instances: int | None = None) -> SparkSession:
+    """Session to build a stream in, with ``instances`` state partitions; the given one is left
+    as it is.
 
     State is never re-partitioned: the first run of a checkpoint fixes the number, so size it for
-    the peak. The batch default is meant for large shuffles and makes small triggers slow.
+    the peak. By default there are as many as tasks the cluster runs at once.
     """
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", instances)
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    session = ensure_session(spark.newSession())
+    session.conf.set("spark.sql.shuffle.partitions",
+                     instances or spark.sparkContext.defaultParallelism)
+    return session
 
 
 def dropped_late(query: StreamingQuery) -> int:
@@ -158,9 +159,44 @@ def dropped_late(query: StreamingQuery) -> int:
                for op in progress["stateOperators"])
 
 
-def progress_rows(query: StreamingQuery) -> int:
-    """Input rows processed so far, as far back as the query keeps its progress."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+class RowCounter(StreamingQueryListener):
+    """Adds up the input rows of every micro-batch; a query itself keeps only its last hundred."""
+
+    def __init__(self) -> None:
+        self._rows: dict[str, int] = {}
+        self._ended = threading.Condition()
+        self._over: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self._rows[run] = self._rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        with self._ended:
+            self._over.add(str(event.runId))
+            self._ended.notify_all()
+
+    def rows(self, query: StreamingQuery, timeout: float = 60) -> int:
+        """Rows of a query that has ended; waits until its last report is in."""
+        run = str(query.runId)
+        with self._ended:
+            if not self._ended.wait_for(lambda: run in self._over, timeout):
+                raise TimeoutError(f"no end of query run {run} was reported")
+        return self._rows.get(run, 0)
+
+
+@contextmanager
+def counting(spark: SparkSession) -> Iterator[RowCounter]:
+    """A row counter for the queries of a session that start inside."""
+    counter = RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        yield counter
+    finally:
+        spark.streams.removeListener(counter)
 
 
 def from_rows(trips: DataFrame, pickup: str = "tpep_pickup_datetime") -> DataFrame:
