@@ -96,10 +96,29 @@ def test_split_is_repeatable_and_sized(exact):
     assert reg.split(exact, 0.0).where("is_eval").count() == 0
 
 
-def test_held_out_fraction():
-    assert reg.held_out_fraction(499) == 0.0
-    assert reg.held_out_fraction(500) == reg.held_out_fraction(50_000) == 0.2
-    assert reg.held_out_fraction(1_000_000) == 0.01
+def test_sides_are_a_fifth_at_every_size(exact):
+    for n in (200, 2000):
+        training, evaluation = reg.sides(exact.limit(n))
+        assert training.count() + evaluation.count() == n
+        assert 0.1 < evaluation.count() / n < 0.3
+
+
+def test_training_side_means_are_met(exact):
+    training, _ = reg.sides(exact)
+    scored = reg.filled(reg.predict(reg.train(training), training))
+    for c in reg.CATEGORICAL:
+        for r in scored.groupBy(c).agg(F.avg("predicted_tip_amount").alias("a"),
+                                       F.avg(reg.LABEL).alias("b")).collect():
+            assert r.a == pytest.approx(r.b, abs=1e-9)
+
+
+def test_weights_are_relative_to_the_most_frequent_category(exact, model):
+    weights = reg._weights(model)[1]
+    assert all(w[0] == 0.0 and w[-1] == 0.0 for w in weights.values())
+    labels = next(s for s in model.stages if hasattr(s, "labelsArray")).labelsArray[2]
+    by = dict(zip(labels, weights["payment_type"]))
+    assert by["2"] - by["1"] == pytest.approx(2.0, abs=1e-6)
+    assert by[reg.NULL_CATEGORY] - by["1"] == pytest.approx(5.0, abs=1e-6)
 
 
 def test_vocabulary_counts_nulls_as_a_category(exact):
@@ -118,6 +137,6 @@ def test_feature_info_median(exact):
 
 def test_tuning_tries_every_penalty(exact):
     found = reg.tune(exact)
-    assert len(found.validationMetrics) == 5
-    assert min(range(5), key=found.validationMetrics.__getitem__) == 0
+    assert len(found.errors) == len(found.trials) == 5
+    assert min(range(5), key=found.errors.__getitem__) == 0
     assert all(0 <= l1 <= 20 and l2 in reg.L2_CANDIDATES for l1, l2 in reg.trials())

@@ -1,11 +1,13 @@
-"""Tip model. Features, encoding, split and statistics have oracles; fitted values do not."""
+"""Tip model, fitted once on the training side and used by all queries on it.
 
-from __future__ import annotations
+A least-squares fit with intercept meets these statements on the rows it was fitted on: for every
+category value the mean prediction is the mean label, the mean error is 0, and the error is
+uncorrelated with each numeric input. They are what SQL can say of the model.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from tripmill.catalog.prelude import mean, number_text
 from tripmill.catalog.registry import query
@@ -37,36 +39,41 @@ SELECT '{c}' AS feature, category,
 """ for c in reg.CATEGORICAL))
 def ml_encode(spark, d):
     """Slot of every category in the fitted one-hot vectors."""
-    rows = reg.filled(_rows(spark, d))
-    indexed = Pipeline(stages=reg.encoder()).fit(rows).transform(rows)
-    parts = [indexed.select(F.lit(c).alias("feature"), F.col(c).alias("category"),
-                            F.col(f"{c}_idx").cast("int").alias("slot")).distinct()
-             for c in reg.CATEGORICAL]
-    return reduce(DataFrame.unionByName, parts)
+    return reg.slots(_rows(spark, d))
 
 
-@query("ml_split", _FEATURES + f"""
+_DIGESTS = f"""
 , digests AS (
-  SELECT substr(md5(concat_ws('|', CAST(passenger_count AS VARCHAR),
+  SELECT *, substr(md5(concat_ws('|', CAST(passenger_count AS VARCHAR),
     {number_text('trip_distance')}, PULocationID, DOLocationID, coalesce(payment_type, ''),
     {number_text('fare_amount')}, {number_text('tolls_amount')}, {number_text('tip_amount')})),
-    1, 8) AS digest FROM features
-)
-SELECT digest < CASE WHEN total < 500 THEN '00000000' WHEN total <= 50000 THEN '33333333'
-    ELSE lpad(printf('%x', CAST(floor(10000.0 / total * 4294967296) AS BIGINT)), 8, '0') END AS is_eval,
-  count(*) AS n FROM digests, (SELECT count(*) AS total FROM features) GROUP BY 1""")
+    1, 8) < '33333333' AS is_eval FROM features
+)"""
+
+
+@query("ml_split", _FEATURES + _DIGESTS + " SELECT is_eval, count(*) AS n FROM digests GROUP BY 1")
 def ml_split(spark, d):
-    return reg.auto_split(_rows(spark, d)).groupBy("is_eval").agg(F.count(F.lit(1)).alias("n"))
+    return reg.split(_rows(spark, d)).groupBy("is_eval").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _fitted(spark, d):
+    """The model of the training side, and the training rows."""
+    training, _ = reg.sides(_rows(spark, d))
+    return reg.train(training), training
 
 
-@query("ml_train")
+@query("ml_train", _FEATURES + _DIGESTS + " UNION ALL ".join(f"""
+SELECT '{c}' AS input, coalesce({c}, '_null_filler') AS category, count(*) AS n,
+  round(avg(tip_amount), 4) + 0.0 AS mean_prediction
+FROM digests WHERE NOT is_eval GROUP BY ALL""" for c in reg.CATEGORICAL))
 def ml_train(spark, d):
-    """Weight of every numeric input and the intercept, fitted on the training side."""
-    rows = reg.auto_split(_rows(spark, d)).where(~F.col("is_eval")).drop("is_eval")
-    model = reg.train(rows).stages[-1]
-    weights = list(zip(reg.NUMERIC, [float(w) for w in model.coefficients]))
-    return spark.createDataFrame(weights + [("intercept", float(model.intercept))],
-                                 "input string, weight double")
+    """Mean prediction of the fitted model for every category value of the training side."""
+    model, training = _fitted(spark, d)
+    scored = reg.filled(reg.predict(model, training))
+    stacked = scored.select(F.col("predicted_tip_amount").alias("guess"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("input"), F.col(c).alias("category")) for c in reg.CATEGORICAL])))
+    return stacked.groupBy("input", "category").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("guess"), 4).alias("mean_prediction"))
 
 
 _INFO = """SELECT '{c}' AS input, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
@@ -87,27 +94,40 @@ def ml_feature_info(spark, d):
 
 @query("ml_evaluate")
 def ml_evaluate(spark, d):
-    rows = _rows(spark, d)
-    return reg.evaluate(reg.predict(reg.train(rows), rows))
+    """Error metrics over all rows, of the model fitted on the training side."""
+    return reg.evaluate(reg.predict(_fitted(spark, d)[0], _rows(spark, d)))
 
 
 @query("ml_predict")
 def ml_predict(spark, d):
-    rows = _rows(spark, d)
-    return reg.predict(reg.train(rows), rows)
+    return reg.predict(_fitted(spark, d)[0], _rows(spark, d))
 
 
-@query("ml_explain")
+@query("ml_explain", _FEATURES + """
+SELECT count(*) AS n, count(*) AS n_adding_up, CAST(0 AS DOUBLE) AS mean_attribution
+FROM features""")
 def ml_explain(spark, d):
-    rows = _rows(spark, d)
-    model = reg.train(rows)
-    return reg.explain(model, rows, reg.baseline(model, rows))
-
-
-@query("ml_tune")
+    """Rows, rows whose attributions and baseline add up to the prediction, mean attribution."""
+    model, rows = _fitted(spark, d)[0], _rows(spark, d)
+    base = reg.baseline(model, rows)
+    explained = reg.explain(model, rows, base, len(reg.NUMERIC + reg.CATEGORICAL))
+    total = F.aggregate("top_feature_attributions", F.lit(0.0), lambda s, x: s + x["attribution"])
+    off = F.col("baseline_prediction") + total - F.col("predicted_tip_amount")
+    return explained.agg(F.count(F.lit(1)).alias("n"),
+                         F.count_if(F.abs(off) < 1e-6).alias("n_adding_up"),
+                         (F.round(F.avg(total), 4) + 0.0).alias("mean_attribution"))
+
+
+@query("ml_tune", _FEATURES + _DIGESTS + """
+SELECT count(*) FILTER (NOT is_eval) AS n_training, count(*) FILTER (is_eval) AS n_evaluation,
+  CAST(5 AS BIGINT) AS n_trials, true AS best_has_least_error FROM digests""")
 def ml_tune(spark, d):
-    """Validation error of every tried penalty."""
-    search = reg.tune(_rows(spark, d))
-    rows = [(l1, l2, float(mse)) for (l1, l2), mse in
-            zip(reg.trials(), search.validationMetrics)]
-    return spark.createDataFrame(rows, "l1_reg double, l2_reg double, mean_squared_error double")
+    """Rows of each side, trials, and whether the model kept has the least error of them."""
+    rows = _rows(spark, d)
+    found = reg.tune(rows)
+    again = reg.evaluate_with(reg.predict(found.best, reg.sides(rows)[1]), "mse")
+    return reg.split(rows).agg(
+        F.count_if(~F.col("is_eval")).alias("n_training"),
+        F.count_if("is_eval").alias("n_evaluation"),
+        F.lit(len(found.trials)).cast("bigint").alias("n_trials"),
+        F.lit(abs(again - min(found.errors)) <= 1e-9 * again).alias("best_has_least_error"))

@@ -6,12 +6,13 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer, OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer)
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, functions as F
 
 from tripmill.functions.exact import exact_avg
@@ -66,18 +67,11 @@ def encoder() -> list:
     ]
 
 
-# The automatic split keeps every row for training below the first bound, holds out
-# a fifth up to the second, and about this many rows beyond it.
-SPLIT_ALL_BELOW, SPLIT_FIFTH_UP_TO, SPLIT_HELD_OUT = 500, 50_000, 10_000
+# Share of the rows held out for evaluation, at every size.
+HELD_OUT = 0.2
 
 
-def held_out_fraction(n: int) -> float:
-    if n < SPLIT_ALL_BELOW:
-        return 0.0
-    return 0.2 if n <= SPLIT_FIFTH_UP_TO else SPLIT_HELD_OUT / n
-
-
-def split(rows: DataFrame, held_out: float) -> DataFrame:
+def split(rows: DataFrame, held_out: float = HELD_OUT) -> DataFrame:
     """Add ``is_eval``, decided by a digest of the whole row.
 
     The same row always lands on the same side, on any cluster and after any task retry.
@@ -89,8 +83,28 @@ def split(rows: DataFrame, held_out: float) -> DataFrame:
     return rows.withColumn("is_eval", F.substring(F.md5(text), 1, 8) < F.lit(bound))
 
 
-def auto_split(rows: DataFrame) -> DataFrame:
-    return split(rows, held_out_fraction(rows.count()))
+def sides(rows: DataFrame, held_out: float = HELD_OUT) -> tuple[DataFrame, DataFrame]:
+    """Training and evaluation rows."""
+    parts = split(rows, held_out)
+    return parts.where(~F.col("is_eval")).drop("is_eval"), parts.where("is_eval").drop("is_eval")
+
+
+def encode(rows: DataFrame) -> PipelineModel:
+    """Encoder fitted on the rows, without the slot of the most frequent value of each category.
+
+    With an intercept, a slot for every value would make the inputs depend on each other and leave
+    their weights open. The value left out has weight 0, and the others are relative to it.
+    """
+    data = filled(rows)
+    full = Pipeline(stages=encoder()).fit(data)
+    indexer = next(s for s in full.stages if hasattr(s, "labelsArray"))
+    kept, at = list(range(len(NUMERIC))), len(NUMERIC)
+    for labels in indexer.labelsArray:
+        kept += range(at + 1, at + len(labels))
+        at += len(labels)
+    assembler = full.stages[-1].copy({full.stages[-1].outputCol: "slots"})
+    slicer = VectorSlicer(inputCol="slots", outputCol="features", indices=kept)
+    return PipelineModel([*full.stages[:-1], assembler, slicer])
 
 
 def train(rows: DataFrame, reg: float = 0.0, elastic: float = 0.0) -> PipelineModel:
@@ -100,7 +114,8 @@ def train(rows: DataFrame, reg: float = 0.0, elastic: float = 0.0) -> PipelineMo
     """
     regression = LinearRegression(featuresCol="features", labelCol=LABEL, regParam=reg,
                                   elasticNetParam=elastic)
-    return Pipeline(stages=encoder() + [regression]).fit(filled(rows))
+    encoding = encode(rows)
+    return PipelineModel([*encoding.stages, regression.fit(encoding.transform(filled(rows)))])
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -157,15 +172,27 @@ def feature_info(rows: DataFrame, error: float = 0.0001) -> DataFrame:
             F.col(f"null{i}").alias("null_count")))
     numeric = rows.agg(*aggregates).select(F.inline(F.array(*structs)))
     nothing = F.lit(None).cast("double")
-    categories = [
-        rows.groupBy(c).agg(F.count(F.lit(1)).alias("n")).agg(
-            F.lit(c).alias("input"), *[nothing.alias(s) for s in
-                                       ("min", "max", "mean", "median", "stddev")],
-            F.count(c).alias("category_count"),
-            F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0))
-            .alias("null_count"))
-        for c in CATEGORICAL]
-    return reduce(DataFrame.unionByName, categories, numeric)
+    # One pass for all categories: their values stacked, counted, then summed up by input.
+    values = rows.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("input"), F.col(c).cast("string").alias("value"))
+        for c in CATEGORICAL])))
+    counts = values.groupBy("input", "value").agg(F.count(F.lit(1)).alias("n"))
+    categories = counts.groupBy("input").agg(
+        F.count("value").alias("category_count"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0))
+        .alias("null_count")).select(
+            "input", *[nothing.alias(s) for s in ("min", "max", "mean", "median", "stddev")],
+            "category_count", "null_count")
+    return numeric.unionByName(categories)
+
+
+def slots(rows: DataFrame) -> DataFrame:
+    """``feature``, ``category`` and ``slot`` of the fitted one-hot blocks, from their labels."""
+    indexer = next(s for s in Pipeline(stages=encoder()[:2]).fit(filled(rows)).stages
+                   if hasattr(s, "labelsArray"))
+    listed = [(c, label, i) for c, labels in zip(CATEGORICAL, indexer.labelsArray)
+              for i, label in enumerate(labels)]
+    return rows.sparkSession.createDataFrame(listed, "feature string, category string, slot int")
 
 
 @dataclass(frozen=True)
@@ -184,8 +211,8 @@ def _weights(model: PipelineModel) -> tuple[dict[str, float], dict[str, list[flo
     numeric = dict(zip(NUMERIC, coefficients))
     blocks, at = {}, len(NUMERIC)
     for column, labels in zip(CATEGORICAL, indexer.labelsArray):
-        blocks[column] = coefficients[at:at + len(labels)] + [0.0]
-        at += len(labels)
+        blocks[column] = [0.0] + coefficients[at:at + len(labels) - 1] + [0.0]
+        at += len(labels) - 1
     return numeric, blocks, float(regression.intercept)
 
 
@@ -243,21 +270,42 @@ def trials(n: int = 5, seed: int = 42) -> list[tuple[float, float]]:
                            for _ in range(n - 1)]
 
 
+@dataclass(frozen=True)
+class Tuning:
+    """Evaluation error of each tried pair of penalties, and the model with the least."""
+
+    trials: list[tuple[float, float]]
+    errors: list[float]
+    best: PipelineModel
+
+
 def tune(rows: DataFrame, n: int = 5, parallel: int = 2, seed: int = 42,
-         grid: Sequence[tuple[float, float]] | None = None) -> TrainValidationSplitModel:
+         grid: Sequence[tuple[float, float]] | None = None,
+         held_out: float = HELD_OUT) -> Tuning:
     """Try ``n`` penalties, ``parallel`` at a time, and keep the model with the least error.
 
-    Rows are encoded once. Put the encoded rows in memory before, when they fit.
+    The digest split decides the sides. Categories and missing numbers are learned from the training
+    side alone, and its rows are encoded once.
     """
-    regression = LinearRegression(featuresCol="features", labelCol=LABEL)
-    maps = []
-    for l1, l2 in grid or trials(n, seed):
-        total = l1 + l2
-        maps.append({regression.regParam: total,
-                     regression.elasticNetParam: l1 / total if total else 0.0})
-    encoding = Pipeline(stages=encoder()).fit(filled(rows))
-    encoded = encoding.transform(filled(rows)).select("features", LABEL)
-    search = TrainValidationSplit(
-        estimator=regression, estimatorParamMaps=maps, trainRatio=0.8, parallelism=parallel,
-        seed=seed, evaluator=RegressionEvaluator(labelCol=LABEL, metricName="mse"))
-    return search.fit(encoded)
+    tried = list(grid or trials(n, seed))
+    training, evaluation = sides(rows, held_out)
+    encoding = encode(training)
+    encoded = [encoding.transform(filled(side)).select("features", LABEL).persist()
+               for side in (training, evaluation)]
+    scorer = RegressionEvaluator(labelCol=LABEL, metricName="mse")
+
+    def attempt(pair: tuple[float, float]):
+        total = sum(pair)
+        model = LinearRegression(featuresCol="features", labelCol=LABEL, regParam=total,
+                                 elasticNetParam=pair[0] / total if total else 0.0).fit(encoded[0])
+        return scorer.evaluate(model.transform(encoded[1])), model
+
+    try:
+        with ThreadPool(parallel) as pool:
+            found = pool.map(attempt, tried)
+    finally:
+        for side in encoded:
+            side.unpersist()
+    errors = [float(e) for e, _ in found]
+    best = found[errors.index(min(errors))][1]
+    return Tuning(tried, errors, PipelineModel([*encoding.stages, best]))
