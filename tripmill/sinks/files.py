@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import os
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from tripmill import schemas
-from tripmill.sources.files import csv_text, csv_typed, month_path, path_exists
+from tripmill.sources.files import csv_typed, month_path, path_exists
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -96,13 +100,44 @@ def kafka_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
-def copy_raw(spark: SparkSession, source: str, target: str) -> None:
-    """Land CSV files in the raw area before they are loaded, every value as text.
+COPY_BYTES = 4 << 20
 
-    Large files are split over tasks, so each output file gets the header again; copying plain
-    lines would leave most parts without one.
+
+def copy_raw(spark: SparkSession, source: str, target: str) -> int:
+    """Land files as they are, byte for byte, in the raw area before they are loaded.
+
+    One task for each file streams it through the file systems that the two addresses name. A file
+    appears under its name only when it is complete. Returns the number of files.
     """
-    csv_text(spark, source).write.option("header", True).mode("overwrite").csv(target)
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                name = path.rpartition("/")[2]
+                reading, source_path = arrow_fs.FileSystem.from_uri(_uri(path))
+                writing, folder = arrow_fs.FileSystem.from_uri(_uri(target))
+                writing.create_dir(folder, recursive=True)
+                draft = f"{folder}/_{name}.{attempt}"
+                with reading.open_input_stream(source_path, compression=None) as from_file, \
+                        writing.open_output_stream(draft, compression=None) as to_file:
+                    while chunk := from_file.read(COPY_BYTES):
+                        to_file.write(chunk)
+                writing.move(draft, f"{folder}/{name}")
+            yield batch
+
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [f for f in file_system.listStatus(hadoop_path)
+              if f.isFile() and f.getPath().getName()[0] not in "_."]
+    paths = spark.createDataFrame([(f.getPath().toString(),) for f in listed], "path string")
+    return paths.repartition(max(1, len(listed))).mapInArrow(copy, "path string").count()
+
+
+def _uri(path: str) -> str:
+    """Address with a scheme; Spark writes local ones with a single slash."""
+    if path.startswith("file:/") and not path.startswith("file:///"):
+        return "file://" + path.removeprefix("file:")
+    return path if "://" in path else "file://" + os.path.abspath(path)
 
 
 def jdbc_writer(df: DataFrame, url: str, table: str, mode: str, user: str, password: str,
