@@ -11,11 +11,17 @@ from tripmill.session import ensure_session, shared_root, workspace
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+# Rows and bytes of text that pass between Spark and a Python worker at a time. Whole documents
+# travel here, so batches of the default size would fill a small executor.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+              "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
 SPACES = b" \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ensure_session(spark)
+    for key, value in BATCH_CONF.items():
+        ensure_session(spark).conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
