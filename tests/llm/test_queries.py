@@ -144,12 +144,8 @@ def test_long_text_and_few_rows(spark, write):
         assert QUERIES[name](spark, sf).count() == 3
 
 
-def test_folder_is_the_shared_one(spark, tmp_path, docs):
-    """Files go to the folder the session names."""
-    from tripmill.session import CHECKPOINT_CONF
-    spark.conf.set(CHECKPOINT_CONF, str(tmp_path / "shared"))
-    try:
-        assert QUERIES["op9_token_files"](spark, SF).count() == len(docs)
-        assert any(n.startswith("tokens-") for n in os.listdir(tmp_path / "shared"))
-    finally:
-        spark.conf.unset(CHECKPOINT_CONF)
+def test_files_go_to_the_shared_folder(spark, tmp_path, docs, monkeypatch):
+    from tripmill import session
+    monkeypatch.setattr(session, "shared_root", lambda spark: str(tmp_path / "shared"))
+    assert QUERIES["op9_token_files"](spark, SF).count() == len(docs)
+    assert any(n.startswith("tokens-") for n in os.listdir(tmp_path / "shared"))
