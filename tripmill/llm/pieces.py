@@ -27,7 +27,8 @@ from tripmill.llm.common import batch_of, carried, fields, in_slices, map_batche
 
 MARK = "▁"
 UNKNOWN_TEXT = " ⁇ "
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
+CACHED_PAIRS = 200_000
 CACHED_CHARS = 48
 IDS_AT_ONCE = 1 << 20
 
@@ -94,7 +95,7 @@ class Pieces:
         pair = before, piece
         known = self.fits.get(pair)
         if known is None:
-            if len(self.fits) > 4 * CACHED_WORDS:
+            if len(self.fits) > CACHED_PAIRS:
                 self.fits.clear()
             known = self.fits[pair] = self._stay(before, piece)
         return known

@@ -43,7 +43,7 @@ MIN_SHARE = 0.002
 PENALTY = 5e-4
 STEPS = 800
 REJECT = 0.5
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 _OTHER = re.compile(r"[\W\d_]+")
 _ASCII_OTHER = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32
@@ -55,7 +55,7 @@ def raw_words(text: bytes | None) -> set[bytes]:
     return set((text or b"").translate(_ASCII_OTHER).split())
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=5_000)
 def word_features(raw: bytes) -> tuple[str, ...]:
     """The word in lower case, without signs that are no letters, and its beginnings."""
     out: list[str] = []
