@@ -18,6 +18,7 @@ from tripmill.llm.bloom import Bloom
 from tripmill.llm.components import components
 from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
+from tripmill.llm.neighbours import nearest
 from tripmill.llm.pieces import Pieces
 from tripmill.llm.runs import Run, cut, merge, pack, part_of, shared
 from tripmill.llm.simhash import links, reach
@@ -146,6 +147,22 @@ def test_url_rules_over_many_partitions(spark):
         assert (r["rule"], r["verdict"]) == want[2:]
 
 
+def test_neighbours_in_a_dense_group(spark):
+    """Vectors much closer to each other than a rounding step of one byte a component."""
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(32)
+    rows = centre / np.linalg.norm(centre) + 1e-4 * rng.standard_normal((1_500, 32))
+    rows = rows.astype(np.float32)
+    vectors = dict(enumerate(rows.tolist()))
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>")
+    want = brute.neighbours(vectors, range(0, 1_500, 50), 10)
+    found = {}
+    for r in nearest(df, lambda i: i % 50 == 0, 10).collect():
+        found.setdefault(r["query"], set()).add(r["id"])
+    hits = sum(len(found[q] & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want), hits
+
+
 def test_links_of_full_buckets_connect_the_same(spark):
     rng = np.random.default_rng(3)
     prints = list(map(int, rng.integers(-2**63, 2**63 - 1, 20)))
