@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import brute
@@ -232,6 +233,16 @@ def test_encoders_agree_with_their_libraries(text):
         text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_encoded_as_by_an_untouched_tokenizer():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), WordEncoder(path)
+    end = "<|endoftext|>"
+    for text in (f"a {end} b", end, f"{end}{end}", f"x{end}y  z\n{end} ", f"a b c {end[:-1]} d",
+                 f"plain words then {end}", "plain words again"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(
+            text, add_special_tokens=False).ids
+
+
 LIBRARY: dict = {}
 
 

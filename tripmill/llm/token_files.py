@@ -48,14 +48,16 @@ class WordEncoder:
     """The library's byte-level encoder, with the ids of frequent words kept.
 
     Its splitting pattern always starts a new word at a space between two characters that are not
-    white space. Text is cut there, and each word is encoded by the library once.
+    white space. Text is cut there, and each word is encoded by the library once. Text that holds
+    an added token, such as the end of a text, is encoded whole, since the library looks for these
+    before it splits.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         tokens = self.tokenizer.get_vocab(with_added_tokens=True)
         self.spaced = np.zeros(max(tokens.values()) + 1, bool)
         self.spaced[[i for t, i in tokens.items() if t.startswith(SPACE_SIGN)]] = True
@@ -87,6 +89,8 @@ class WordEncoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        if any(t in text for t in self.added):
+            return self._encoded(text)
         words = _LONE_SPACE.split(text) if _SPACE_RUN.search(text) else text.split(" ")
         first, words = words[0], words[1:]
         if first == "" and words:
