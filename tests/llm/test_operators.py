@@ -261,6 +261,23 @@ def test_kneser_ney_rows_are_distributions():
     assert model.predict(" 12 ")[0] == "und"
 
 
+def test_stored_language_model_keeps_every_ngram(spark):
+    texts = ["banana bandana zebra", "abc cab bca", "quick brown fox", "une phrase rare", "日本語 é"]
+    docs = [(i, texts[i % 5 if i < 40 else i % 2] + " " + "xyz"[i % 3] * (i % 4), f"l{i % 2}")
+            for i in range(60)] + [(60, "seltene worte hier", "rare"), (61, "12", "l0")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    asked = df.unionByName(spark.createDataFrame(
+        [(90, "unseen wording ŵ", None), (91, None, None)], df.schema))
+    def found(model):
+        return {r["id"]: r for r in language.predict(asked, model).collect()}
+    whole, parts = found(language.fit(df)), found(language.fit(df, entries=20))
+    assert whole.keys() == parts.keys()
+    for i, r in whole.items():
+        assert (r["lang"], r["rejected"]) == (parts[i]["lang"], parts[i]["rejected"])
+        assert r["score"] == pytest.approx(parts[i]["score"], abs=1e-5)
+        assert r["bits"] == pytest.approx(parts[i]["bits"], abs=1e-5)
+
+
 def test_thresholds_stay_ordered_and_weights_are_shared():
     rng = np.random.default_rng(2)
     found = [sorted(rng.choice(6, rng.integers(0, 4), replace=False).tolist()) for _ in range(900)]

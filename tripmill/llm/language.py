@@ -10,9 +10,10 @@ A text goes to the language with the lowest cross-entropy per letter. It is also
 if that entropy is above the language's ``QUANTILE`` over training documents. The score is the best
 language's share when entropies are turned into weights of 2 ** (-SHARPNESS * bits).
 
-Counts cover all training documents. They are summed up in tasks and then by Spark; the driver
-builds the arrays from at most ``ENTRIES`` distinct n-grams: beyond that, n-grams below the smallest
-sufficient count are left to the lower orders. Rejection is calibrated on at most ``CALIBRATION``
+Counts cover all training documents and none is left out. They are summed up in tasks and then by
+Spark. Up to ``ENTRIES`` rows the driver builds the arrays and sends them; beyond that Spark builds
+the same levels as tables in the shared folder, and tasks read through these in small batches for
+the distinct n-grams of ``KEYS_AT_ONCE`` letters of text at a time. Rejection is calibrated on at most ``CALIBRATION``
 training documents, those with the smallest hash of their id.
 
 Defined cases: text that is null or has no letter is ``und`` with score 0 and is not rejected; so
@@ -26,9 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripmill.llm.common import batch_of, map_batches, staged
+from tripmill.llm.common import batch_of, staged
+from tripmill.llm.token_files import open_folder
+from tripmill.session import workspace
 
 ORDER = 4
 LETTER_BITS = 16
@@ -37,6 +41,7 @@ CALIBRATION = 20_000
 QUANTILE = 0.995
 SHARPNESS = 4.0
 KEYS_AT_ONCE = 1 << 22
+ROWS_AT_ONCE = 1 << 16
 UNKNOWN = "und"
 
 _LETTER_MASK = np.uint64((1 << LETTER_BITS) - 1)
@@ -158,13 +163,132 @@ class Model:
         keys = ngram_keys(text)
         if not len(keys) or not self.languages:
             return UNKNOWN, 0.0, None, False
-        bits = self.entropies(keys)
+        return self.verdict(self.entropies(keys))
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
+        return [self.predict(t) for t in texts]
+
+    def verdict(self, bits: np.ndarray) -> tuple[str, float, float, bool]:
         best = int(bits.argmin())
         score = 1 / np.exp2(np.maximum(SHARPNESS * (bits[best] - bits), -1000)).sum()
         return (self.languages[best], float(score), float(bits[best]),
                 bool(bits[best] > self.limits[best]))
 
 
+@dataclass
+class Stored:
+    """A table in the shared folder: a key and a probability for each language."""
+
+    path: str
+    width: int
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A row of log2 values for each key, zeros where there is none, and which there are."""
+        keys, back = np.unique(wanted, return_inverse=True)
+        values, hit = np.zeros((len(keys), self.width), np.float32), np.zeros(len(keys), bool)
+        files, path = open_folder(self.path)
+        for batch in ds.dataset(path, filesystem=files, format="parquet").to_batches(
+                columns=["key", "row"], batch_size=ROWS_AT_ONCE, batch_readahead=1,
+                fragment_readahead=1, use_threads=False):
+            at, there = _find(keys, batch.column(0).to_numpy().view(np.uint64))
+            rows = batch.column(1).flatten().to_numpy().reshape(-1, self.width)
+            values[at[there]] = np.log2(np.maximum(rows[there], 1e-12))
+            hit[at[there]] = True
+        return values[back], hit[back]
+
+
+class StoredModel(Model):
+    """The same model with levels of any size, which stay in the shared folder."""
+
+    def __init__(self, languages: list[str], levels: list[tuple[Stored, Stored]],
+                 floor: np.ndarray) -> None:
+        super().__init__(languages, [], floor)
+        self.stored = levels
+
+    def letters(self, keys: np.ndarray) -> np.ndarray:
+        """log2 of the probability of each key's last letter, for each language."""
+        out, left = np.zeros((len(keys), len(self.languages))), np.arange(len(keys))
+        for order, (level, contexts) in zip(range(ORDER, 0, -1), self.stored):
+            rest = keys[left] & np.uint64((1 << (LETTER_BITS * order)) - 1)
+            values, hit = level.find(rest)
+            out[left] += values
+            rest, left = rest[~hit], left[~hit]
+            if not len(left):
+                return out
+            if order > 1:
+                out[left] += contexts.find(rest >> np.uint64(LETTER_BITS))[0]
+        out[left] += self.floor
+        return out
+
+    def predict(self, text: str | None) -> tuple[str, float, float | None, bool]:
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
+        every = [ngram_keys(t) for t in texts]
+        sizes = np.array([len(k) for k in every], np.int64)
+        if not sizes.sum():
+            return [(UNKNOWN, 0.0, None, False)] * len(texts)
+        keys, back = np.unique(np.concatenate(every), return_inverse=True)
+        value, ends = self.letters(keys), np.cumsum(sizes)
+        return [self.verdict(-value[back[end - n:end]].mean(axis=0)) if n
+                else (UNKNOWN, 0.0, None, False) for n, end in zip(sizes.tolist(), ends.tolist())]
+
+
+def store(counts: DataFrame, languages: list[str]) -> StoredModel:
+    """The model of ``build`` from ``lang``, ``key`` and ``n``, by joins and aggregates."""
+    spark, width = counts.sparkSession, len(languages)
+    names = spark.createDataFrame(list(enumerate(languages)), "i int, name string")
+    places = F.array(*[F.lit(i) for i in range(width)])
+    orders = [counts.join(F.broadcast(names), F.col("lang") == F.col("name"))
+              .select("i", "key", F.col("n").cast("double").alias("n"))]
+    for order in range(ORDER - 1, 0, -1):
+        suffix = F.col("key").bitwiseAND(F.lit((1 << (LETTER_BITS * order)) - 1))
+        orders.append(staged(orders[-1].groupBy("i", suffix.alias("key")).agg(
+            F.count("*").cast("double").alias("n")), "orders"))
+
+    def dense(rows: DataFrame, key: str, missing: dict[str, float]) -> DataFrame:
+        """An array over the languages for each key."""
+        maps = rows.groupBy(key).agg(*[F.map_from_entries(F.collect_list(F.struct("i", c))).alias(c)
+                                       for c in missing])
+
+        def each(name: str) -> Column:
+            return F.transform(places, lambda i: F.coalesce(F.element_at(name, i),
+                                                            F.lit(missing[name])))
+        return maps.select(key, *[each(c).alias(c) for c in missing])
+
+    def kept(rows: DataFrame) -> tuple[Stored, DataFrame]:
+        path = workspace(spark, "level")
+        rows.write.parquet(path)
+        return Stored(path, width), spark.read.schema(rows.schema).parquet(path)
+
+    levels, lower = [], None
+    for order, rows in zip(range(1, ORDER + 1), reversed(orders)):
+        few = {r[0]: r[1:] for r in rows.groupBy("i").agg(
+            F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).collect()}
+        discount = F.array(*[F.lit(float(one / (one + 2 * two) if one else 0.5))
+                             for one, two in (few[i] for i in range(width))])
+        context = F.shiftrightunsigned("key", LETTER_BITS)
+        groups = rows.groupBy("i", context.alias("context")).agg(
+            F.sum("n").alias("total"), F.count("*").alias("kinds")).withColumn(
+            "share", F.get(discount, F.col("i")) * F.col("kinds") / F.col("total"))
+        groups = staged(dense(groups, "context", {"total": 1.0, "share": 1.0}), "contexts")
+        found = dense(rows, "key", {"n": 0.0}).withColumn("context", context)
+        if lower is None:
+            n = found.count()
+            floor = np.array(groups.first()["share"]) / (n + 1)
+            found = found.withColumn("below", F.array(*[F.lit(1 / (n + 1))] * width))
+        else:
+            suffix = F.col("key").bitwiseAND(F.lit((1 << (LETTER_BITS * (order - 1))) - 1))
+            found = found.join(lower.select(F.col("key").alias("suffix"), F.col("row").alias(
+                "below")), suffix == F.col("suffix"))
+        prob, lower = kept(found.join(groups, "context").select("key", F.transform(
+            places, lambda i: F.greatest(F.get("n", i) - F.get(discount, i), F.lit(0.0))
+            / F.get("total", i) + F.get("share", i) * F.get("below", i)).alias("row")))
+        levels.append((prob, kept(groups.select(
+            F.col("context").alias("key"), F.col("share").alias("row")))[0]))
+    return StoredModel(languages, levels[::-1], np.log2(np.maximum(floor, 1e-12)))
+
+
 def build(languages: list[str], rows: list[tuple[np.ndarray, np.ndarray]]) -> Model:
     """Model from each language's n-gram keys and counts."""
     keys = np.unique(np.concatenate([k for k, _ in rows]))
@@ -208,17 +332,17 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         entries: int = ENTRIES) -> Model:
     """Model of the languages of labelled documents."""
     counts = staged(count_ngrams(docs, lang, text), "ngrams")
-    least = 1
-    sizes = counts.agg(*[F.count_if(F.col("n") >= 1 << i).alias(str(i)) for i in range(40)]).first()
-    while sizes[least.bit_length() - 1] > entries:
-        least *= 2
-    rows = counts.where(F.col("n") >= least).toPandas()
-    if not len(rows):
-        return Model([], [], np.zeros(0))
-    languages = sorted(rows["lang"].unique())
-    model = build(languages, [
-        (own["key"].to_numpy().view(np.uint64), own["n"].to_numpy())
-        for own in (rows[rows["lang"] == name].sort_values("key") for name in languages)])
+    if counts.count() > entries:
+        languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
+        model: Model = store(counts, languages)
+    else:
+        rows = counts.toPandas()
+        if not len(rows):
+            return Model([], [], np.zeros(0))
+        languages = sorted(rows["lang"].unique())
+        model = build(languages, [
+            (own["key"].to_numpy().view(np.uint64), own["n"].to_numpy())
+            for own in (rows[rows["lang"] == name].sort_values("key") for name in languages)])
     ids = (docs.where(F.col(lang).isNotNull()).select(F.col(doc_id).alias("chosen"))
            .orderBy(F.xxhash64(F.col("chosen").cast("string")), "chosen").limit(CALIBRATION))
     # At most CALIBRATION ids, so they can be sent to all tasks.
@@ -238,13 +362,28 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), label.alias("label"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [sent.value.predict(t) for t in batch.column(1).to_pylist()]
-        lang, score, bits, rejected = zip(*found) if found else ((), (), (), ())
-        return batch_of(id=batch.column(0), lang=pa.array(lang, pa.string()),
-                        score=pa.array(score, pa.float64()), bits=pa.array(bits, pa.float64()),
-                        rejected=pa.array(rejected, pa.bool_()), label=batch.column(2))
+    def judged(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = [t for batch in batches for t in batch.column(1).to_pylist()]
+        found = iter(sent.value.predict_all(texts))
+        for batch in batches:
+            own = [next(found) for _ in range(batch.num_rows)]
+            lang, score, bits, rejected = zip(*own) if own else ((), (), (), ())
+            yield batch_of(id=batch.column(0), lang=pa.array(lang, pa.string()),
+                           score=pa.array(score, pa.float64()), bits=pa.array(bits, pa.float64()),
+                           rejected=pa.array(rejected, pa.bool_()), label=batch.column(2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column(1).nbytes
+            # A model that is held needs no more than one batch; a stored one is read through once.
+            if size > KEYS_AT_ONCE or not isinstance(sent.value, StoredModel):
+                yield from judged(held)
+                held, size = [], 0
+        if held:
+            yield from judged(held)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return map_batches(rows, run, f"id {kind}, lang string, score double, bits double, "
-                                  "rejected boolean, label string")
+    return rows.mapInArrow(run, f"id {kind}, lang string, score double, bits double, "
+                                "rejected boolean, label string")

@@ -115,7 +115,7 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _open(uri: str):
+def open_folder(uri: str):
     return arrow_fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:")
                                         else os.path.abspath(uri))
 
@@ -124,7 +124,7 @@ class Writer:
     """One file. Use ``add`` for each document, then ``close``."""
 
     def __init__(self, uri: str, attempt: str) -> None:
-        self.fs, self.path = _open(uri)
+        self.fs, self.path = open_folder(uri)
         folder, _, name = self.path.rpartition("/")
         self.fs.create_dir(folder, recursive=True)
         self.draft = f"{folder}/_{name}.{attempt}"
@@ -155,7 +155,7 @@ class Reader:
     """Seek table of one file; frames are fetched and checked one by one."""
 
     def __init__(self, uri: str) -> None:
-        self.fs, self.path = _open(uri)
+        self.fs, self.path = open_folder(uri)
         self.file = self.fs.open_input_file(self.path)
         foot = np.frombuffer(self._bytes(self.file.size() - FOOTER.itemsize, FOOTER.itemsize),
                              FOOTER)[0]
