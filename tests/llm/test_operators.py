@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -278,6 +279,17 @@ def test_stored_language_model_keeps_every_ngram(spark):
         assert r["bits"] == pytest.approx(parts[i]["bits"], abs=1e-5)
 
 
+def test_a_rare_language_among_many_documents_has_a_limit(spark):
+    ids = spark.range(20_050).select(F.col("id").alias("doc_id"))
+    last = [r[0] for r in ids.orderBy(F.xxhash64(F.col("doc_id").cast("string")).desc()).limit(5)
+            .collect()]
+    rare = F.col("doc_id").isin(last)
+    model = language.fit(ids.select(
+        "doc_id", F.when(rare, "ögle yğmur").otherwise("banana bandana").alias("text"),
+        F.when(rare, "rare").otherwise("common").alias("lang")))
+    assert model.languages == ["common", "rare"] and np.isfinite(model.limits).all()
+
+
 def test_thresholds_stay_ordered_and_weights_are_shared():
     rng = np.random.default_rng(2)
     found = [sorted(rng.choice(6, rng.integers(0, 4), replace=False).tolist()) for _ in range(900)]

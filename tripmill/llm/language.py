@@ -13,8 +13,8 @@ language's share when entropies are turned into weights of 2 ** (-SHARPNESS * bi
 Counts cover all training documents and none is left out. They are summed up in tasks and then by
 Spark. Up to ``ENTRIES`` rows the driver builds the arrays and sends them; beyond that Spark builds
 the same levels as tables in the shared folder, and tasks read through these in small batches for
-the distinct n-grams of ``KEYS_AT_ONCE`` letters of text at a time. Rejection is calibrated on at most ``CALIBRATION``
-training documents, those with the smallest hash of their id.
+the distinct n-grams of ``KEYS_AT_ONCE`` letters of text at a time. Rejection is calibrated on all
+training documents of a language, its quantile at most 1 / ``RANKS`` of them off.
 
 Defined cases: text that is null or has no letter is ``und`` with score 0 and is not rejected; so
 is every text when nothing was learned; of equal entropies the first language in order wins.
@@ -37,7 +37,7 @@ from tripmill.session import workspace
 ORDER = 4
 LETTER_BITS = 16
 ENTRIES = 2_000_000
-CALIBRATION = 20_000
+RANKS = 100_000
 QUANTILE = 0.995
 SHARPNESS = 4.0
 KEYS_AT_ONCE = 1 << 22
@@ -343,12 +343,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         model = build(languages, [
             (own["key"].to_numpy().view(np.uint64), own["n"].to_numpy())
             for own in (rows[rows["lang"] == name].sort_values("key") for name in languages)])
-    ids = (docs.where(F.col(lang).isNotNull()).select(F.col(doc_id).alias("chosen"))
-           .orderBy(F.xxhash64(F.col("chosen").cast("string")), "chosen").limit(CALIBRATION))
-    # At most CALIBRATION ids, so they can be sent to all tasks.
-    sample = docs.join(F.broadcast(ids.distinct()), F.col(doc_id) == F.col("chosen"))
-    limits = (predict(sample, model, doc_id, text, F.col(lang)).where("lang = label")
-              .groupBy("lang").agg(F.percentile("bits", F.lit(QUANTILE)).alias("limit")).collect())
+    known = docs.where(F.col(lang).isNotNull())
+    limits = (predict(known, model, doc_id, text, F.col(lang)).where("lang = label")
+              .groupBy("lang").agg(F.percentile_approx("bits", F.lit(QUANTILE), F.lit(RANKS))
+                                   .alias("limit")).collect())
     for name, limit in limits:
         if limit is not None:
             model.limits[languages.index(name)] = limit
