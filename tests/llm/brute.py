@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -118,7 +119,6 @@ def contamination(docs: dict, items: list) -> dict:
 
 def token_rows(docs: dict) -> dict:
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     out, start = {}, 0
     for i in sorted(docs):
         ids = tokenizer.encode(docs[i] or "", add_special_tokens=False).ids + [0]
@@ -135,3 +135,78 @@ def piece_rows(docs: dict) -> dict:
         ids = model.encode(text or "")
         out[i] = len(ids), sha(",".join(map(str, ids))), sha(model.decode(ids))
     return out
+
+
+def quality_base(text: str | None) -> tuple:
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+    seen = Counter(windows)
+    repeated = {j for i, x in enumerate(windows) if seen[x] > 1 for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if x.strip(SPACES)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""),
+            sum(x in lines[:i] for i, x in enumerate(lines)), len(repeated),
+            len(w) < 20 or 100 * len(repeated) > 30 * len(w))
+
+
+def fertility(text: str | None, pieces, ranks) -> tuple | None:
+    """Piece tokens, characters per rank token, share of byte pieces, evenness."""
+    parts = [w[i:i + 64] for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")
+             for i in range(0, len(w), 64)]
+    ids = [i for p in parts for i in pieces.encode(p)]
+    if not ids:
+        return None
+    n, times = len(ids), Counter(ids)
+    entropy = -sum(c / n * math.log2(c / n) for c in times.values())
+    return (n, sum(map(len, parts)) / sum(len(ranks.encode_ordinary(" " + p)) for p in parts),
+            sum(pieces.is_byte(i) for i in ids) / n,
+            entropy / math.log2(min(n, pieces.get_piece_size())) if n > 1 else 1.0)
+
+
+def with_given_run(doc_id, text: str | None) -> list[str]:
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    if h % 10 or not n or doc_id is None:
+        return w
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def periodic(w: list) -> list:
+    """``(start, length, period)`` of every run, by start, then period."""
+    out, n = [], len(w)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            size = j + q - i
+            if size >= max(6, 4 * q) and not any(
+                    all(w[x] == w[x + p] for x in range(i, i + size - p)) for p in range(1, q)):
+                out.append((i, size, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic_row(w: list) -> tuple:
+    found = periodic(w)
+    gone = {i for s, size, q in found for i in range(s + q, s + size)}
+    best = (None,) * 4
+    for s, size, q in found:
+        if best[0] is None or size * best[2] > best[1] * q:
+            best = s, size, q, 1000 * size // q
+    listed = "".join(f"{s},{size},{q}\n" for s, size, q in found)
+    return (len(found), *best, sha(listed),
+            sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def whitened(vectors: list, steps: int = 64, shift: int = 1_000_000) -> tuple:
+    """``x`` of every vector, count and sums of the distinct ones, eigenvalues and vectors."""
+    x = [tuple(math.floor(steps * c) + shift for c in v) for v in vectors]
+    fit = sorted(set(x))
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    centred = np.array([[(n * c - s) / n for c, s in zip(v, sums)] for v in fit])
+    values, directions = np.linalg.eigh(centred.T @ centred / n)
+    return x, n, sums, values[::-1], directions[:, ::-1]

@@ -5,16 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripmill.llm import language, toxicity
+from tripmill.llm import fertility, language, toxicity
 from tripmill.llm.common import LOWER, UPPER, table
 from tripmill.llm.decontaminate import find_contamination
 from tripmill.llm.line_dedup import dedup_lines
 from tripmill.llm.neighbours import nearest
+from tripmill.llm.periodic import periodic_runs, run_lines, strongest
 from tripmill.llm.pieces import decode_pieces, encode_pieces
 from tripmill.llm.repeats import cut_repeats
 from tripmill.llm.simhash import hex_of, near_duplicates
 from tripmill.llm.token_files import read_token_files, write_token_files
 from tripmill.llm.url_filter import judge_urls
+from tripmill.llm.whitening import fixed_point, whiten
 from tripmill.session import workspace
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
@@ -104,6 +106,58 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, token measures and verdict of every document."""
+    found = fertility.quality(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "script", "n_tokens", "chars_per_token",
+        "byte_share", "evenness", F.array_join("odd", ",").alias("odd"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sixteen strongest components of every vector, scaled to unit variance."""
+    rows = table(spark, sf_dir, "embeddings")
+    found, model, error = whiten(rows, fixed_point(F.col("embedding"), 64, 1_000_000))
+    shares = [v / model.trace for v in model.values] if error is not None else []
+    explained = F.array(*map(F.lit, shares)).cast("array<double>")
+    return found.select("id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        F.col("id").alias("vec_id"), (F.col("at") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("bigint").alias("n"),
+        F.col("deviation").try_cast("bigint").alias("deviation"), "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, after a tenth of them were given one by rule."""
+    docs = with_given_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs(docs).withColumn("best", strongest(F.col("runs")))
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(run_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def with_given_runs(docs: DataFrame) -> DataFrame:
+    """Documents whose id's CRC-32 ends in 0 go on, from some word, with that stretch repeated."""
+    words = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+    rows = docs.selectExpr("doc_id", "text", "crc32(CAST(doc_id AS STRING)) AS h")
+    rows = rows.selectExpr("doc_id", "text", "h div 10 AS g",
+                           f"CASE WHEN h % 10 = 0 THEN {words} END AS words")
+    rows = rows.selectExpr("*", "g % nullif(size(words), 0) AS a")
+    rows = rows.selectExpr("*", "1 + (size(words) - a) div (3 + g % 8) AS p")
+    return rows.selectExpr("doc_id", """
+        CASE WHEN size(words) > 0 THEN array_join(transform(
+          sequence(0, size(words) - 1),
+          i -> words[CAST(CASE WHEN i < a THEN i ELSE a + (i - a) % p END AS INT)]), ' ')
+        ELSE text END AS text""")
+
+
 def table_of_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(URL_RULES, "host string, path string, action string")
 
@@ -119,6 +173,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_pieces": op10_pieces,
+    "op11_fertility": op11_fertility,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
