@@ -13,7 +13,8 @@ from tests.conftest import plan_of, scans_of
 from tripmill import schemas, session
 from tripmill.plans import loads
 from tripmill.session import table_name
-from tripmill.sinks import files as out, tables
+from tripmill.operators import merge
+from tripmill.sinks import commits, files as out, tables
 from tripmill.sources import adapters, files
 from tripmill.operators.filters import date_range, half_open
 
@@ -483,3 +484,114 @@ def test_adapters_read_only_what_is_used(spark, sf):
     narrow = adapters.yellow(spark, sf).select("VendorID")
     assert [s for s in scans_of(narrow) if s.startswith("ReadSchema")] == [
         "ReadSchema: struct<l_suppkey:bigint,l_linestatus:string>"]
+
+
+class Stopped(Exception):
+    pass
+
+
+def stop_at(monkeypatch, wanted, count=1):
+    """Commits stop when they have reached a step for the ``count``-th time."""
+    seen = []
+
+    def reached(step):
+        seen.append(step)
+        if seen.count(wanted) == count and seen[-1] == wanted:
+            raise Stopped(step)
+    monkeypatch.setattr(commits, "reached", reached)
+
+
+def beside(tmp_path):
+    """Everything kept for commits: manifests and folders of partitions."""
+    return sorted(p.name for p in tmp_path.glob("*-commits/*"))
+
+
+STEPS = ["opened", "written", "recorded", "added", "pointed", "set", "cleaned"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_merge_that_stops_at_any_step_has_old_or_new_rows(spark, tmp_path, step, monkeypatch):
+    """One moves a row to a new day, one empties a day, one changes a day in place."""
+    old = dated(spark, *[(i, i % 3, "old") for i in range(9)])
+    name = stored(spark, tmp_path, old)
+    before = held(spark, name)
+    change = dated(spark, (0, 7, "new"), (3, 7, "new"), (6, 7, "new"), (1, 1, "new"))
+    after = sorted([(0, 8, "new"), (3, 8, "new"), (6, 8, "new"), (1, 2, "new")]
+                   + [r for r in before if r[0] not in (0, 3, 6, 1)])
+    with monkeypatch.context() as patch:
+        stop_at(patch, step)
+        with pytest.raises(Stopped):
+            tables.upsert(change, name, ["k"], "day")
+    spark.catalog.refreshTable(name)
+    if step in ("opened", "written", "recorded"):
+        assert held(spark, name) == before
+    commits.recover(spark, name)
+    want = before if step in ("opened", "written") else after
+    assert held(spark, name) == want
+    assert not [n for n in beside(tmp_path) if "." in n]
+    tables.upsert(change, name, ["k"], "day")
+    assert held(spark, name) == after
+    assert not [n for n in beside(tmp_path) if "." in n] and len(beside(tmp_path)) <= 2
+    assert {d for d, in spark.sql(f"SHOW PARTITIONS {name}").collect()} == {
+        f"day=2020-01-{d:02d}" for d in (2, 3, 8)}
+
+
+def test_a_recovery_may_stop_and_start_again(spark, tmp_path, monkeypatch):
+    name = stored(spark, tmp_path, dated(spark, *[(i, i, "old") for i in range(4)]))
+    for step in ("recorded", "added", "pointed", "set", "cleaned"):
+        with monkeypatch.context() as patch:
+            stop_at(patch, step)
+            with pytest.raises(Stopped):
+                if step == "recorded":
+                    tables.upsert(dated(spark, (0, 5, "new"), (1, 1, "new")), name, ["k"], "day")
+                else:
+                    commits.recover(spark, name)
+    commits.recover(spark, name)
+    assert held(spark, name) == [(0, 6, "new"), (1, 2, "new"), (2, 3, "old"), (3, 4, "old")]
+    assert not [n for n in beside(tmp_path) if "." in n]
+
+
+def test_a_merge_is_evaluated_once(spark, tmp_path, monkeypatch):
+    name = stored(spark, tmp_path, dated(spark, *[(i, i % 3, "old") for i in range(9)]))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    plain = merge.upsert
+
+    def counted(touched, source, keys):
+        rows = plain(touched, source, keys)
+        return rows.mapInArrow(count, rows.schema)
+    monkeypatch.setattr(tables.merge, "upsert", counted)
+    tables.upsert(dated(spark, (1, 1, "new")), name, ["k"], "day")
+    assert seen.value == 3
+    assert sum(r[2] == "new" for r in held(spark, name)) == 1
+
+
+def test_merges_leave_no_copies_behind(spark, tmp_path, monkeypatch):
+    root = tmp_path / "shared"
+    monkeypatch.setattr("tripmill.session.shared_root", lambda spark: str(root))
+    name = stored(spark, tmp_path, dated(spark, *[(i, i % 3, "old") for i in range(9)]))
+    sizes = []
+    for n in range(6):
+        STRATEGIES["upsert"](dated(spark, (n, n % 3, f"v{n}")), name)
+        sizes.append(len(list(tmp_path.rglob("*.parquet"))))
+    assert not list(root.glob("merge-source*")) and len(set(sizes[2:])) == 1
+
+
+def test_partition_values_with_quotes(spark, tmp_path):
+    """Also signs that a directory name must escape."""
+    rows = [(1, "it's"), (2, "a\\b"), (3, "x=y/z %41"), (4, None)]
+    df = spark.createDataFrame(rows, "k int, place string")
+    name = table_name("q")
+    df.write.partitionBy("place").option("path", str(tmp_path / name)).saveAsTable(name)
+    fresh = spark.createDataFrame([(1, "é 'q' \\"), (2, "a\\b"), (9, "it's not")],
+                                  "k int, place string")
+    for _ in range(2):
+        tables.upsert(fresh, name, ["k"], "place")
+    found = sorted(map(tuple, spark.table(name).collect()), key=lambda r: r[0])
+    assert found == [(1, "é 'q' \\"), (2, "a\\b"), (3, "x=y/z %41"), (4, None), (9, "it's not")]
+    assert "it's" not in commits.directories(spark, name)

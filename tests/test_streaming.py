@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -171,3 +172,64 @@ def test_stream_session_sets_state_partitions_alone(spark, stream, hourly_sink):
     operators = [op for p in query.recentProgress for op in p["stateOperators"]]
     assert {op["numShufflePartitions"] for op in operators} == {rides.INSTANCES}
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_batch_that_comes_again_is_left_out_by_the_ledger(spark, hourly_sink):
+    def batch(amount):
+        return rides.hourly(spark.createDataFrame(
+            [tuple(event(0, amount=amount).values())], schemas.RIDE))
+    sink = rides.upsert_sink(hourly_sink, "rides")
+    sink(batch(10.0), 0)
+    sink(batch(12.0), 1)
+    sink(batch(99.0), 1)
+    sink(batch(98.0), 0)
+    assert windows(spark, hourly_sink) == [(12, 1, 1, 12.0)]
+    assert rides.merged_batch(spark, hourly_sink, "rides") == 1
+    rides.upsert_sink(hourly_sink, "other")(batch(5.0), 0)
+    assert windows(spark, hourly_sink) == [(12, 1, 1, 5.0)]
+
+
+def test_the_ledger_is_committed_with_the_rows(spark, hourly_sink, monkeypatch):
+    batch = rides.hourly(spark.createDataFrame([tuple(event(0).values())], schemas.RIDE))
+    sink = rides.upsert_sink(hourly_sink, "rides")
+    for step, want in (("written", -1), ("recorded", 0)):
+        with monkeypatch.context() as patch:
+            def stop(reached, step=step):
+                if reached == step:
+                    raise RuntimeError(step)
+            patch.setattr(rides.commits, "reached", stop)
+            with pytest.raises(RuntimeError):
+                sink(batch, 0)
+        rides.commits.recover(spark, hourly_sink)
+        assert rides.merged_batch(spark, hourly_sink, "rides") == want
+    assert windows(spark, hourly_sink) == [(12, 1, 1, 10.0)]
+
+
+def test_a_stream_names_itself_and_leaves_no_copies(spark, stream, hourly_sink, monkeypatch):
+    root = stream.root / "shared"
+    monkeypatch.setattr("tripmill.session.shared_root", lambda spark: str(root))
+    counts = []
+    for n in range(25):
+        stream.arrive(event(n))
+        query = stream.run(rides.hourly(stream.source()), "update",
+                           rides.upsert_sink(hourly_sink))
+        place = rides.commits.location(spark, hourly_sink).removeprefix("file:")
+        counts.append(len(list(root.glob("*"))) + len(os.listdir(f"{place}-commits")))
+    assert rides.merged_batch(spark, hourly_sink, str(query.id)) >= 24
+    assert len(set(counts)) == 1
+
+
+def test_late_rows_are_counted_beyond_a_hundred_batches(spark, stream):
+    """The first row sets the watermark past the windows of all that follow.
+
+    The bound for late rows is that of the batch before, so the second row still counts.
+    """
+    stream.arrive(event(7200))
+    os.utime(stream.root / "in" / "0000.json", (1, 1))  # files are read in order of their times
+    for n in range(130):
+        stream.arrive(event(-3600 * 5))
+    with rides.counting(stream.spark) as counter:
+        query = stream.run(rides.hourly(stream.source()), "append",
+                           lambda df, i: df.write.format("noop").mode("overwrite").save())
+        assert counter.dropped_late(query) == 129
+    assert rides.dropped_late(query) < 129

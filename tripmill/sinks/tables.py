@@ -1,23 +1,22 @@
 """Catalog tables: layout, creation and the materialisation strategies applied to them.
 
 Only Parquet is assumed, so there is no multi-writer transaction: one job writes a table at a
-time. Partitioned tables are changed by dynamic partition overwrite, which stages new files and
-swaps whole partitions at commit. Lost tasks and jobs that fail before the commit leave the old
-files in place. The swap itself is not atomic: a driver lost during it can lose a partition that is
-being swapped, so keep a copy or a table format with transactions where that matters.
+time. Changes of partitioned tables go through ``commits``: the result is evaluated and written once
+into fresh folders, and a manifest makes the switch to them safe against a lost driver at any step.
 Unpartitioned tables are written to a fresh version beside the former one and pointed at it.
 
 A merge first stores its source in the shared folder and works on that copy alone, so rows cannot
-differ between the steps. Which partitions it touches comes from their values, as does which of them
-end up without rows; those are deleted with their files. A null partition value is a value like any
-other. Partition values are held on the driver, as the catalog itself does; rows never are.
+differ between the steps; the copy is deleted when the merge ends. Which partitions it touches comes
+from their values; those that end up without rows are dropped with their files. A null partition
+value is a value like any other. Partition values are held on the driver, as the catalog itself
+does; rows never are.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from datetime import timedelta
 from typing import Any
 
@@ -28,11 +27,8 @@ from tripmill.operators.dedupe import keep_first
 from tripmill.operators.filters import half_open, later_than
 from tripmill.operators.skew import filter_join
 from tripmill.session import workspace
-
-# Fixed value: directory name of the null partition.
-NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
-
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+from tripmill.sinks import commits, storage
+from tripmill.sinks.commits import directories, location
 
 
 def create_as(df: DataFrame, table: str, path: str) -> DataFrame:
@@ -105,20 +101,12 @@ def swap(df: DataFrame, table: str) -> None:
     readers that have already begun.
     """
     spark = df.sparkSession
-    stem, number = _version(_location(spark, table))
+    stem, number = _version(location(spark, table))
     df.write.mode("errorifexists").parquet(_versioned(stem, number + 1))
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{_versioned(stem, number + 1)}'")
     spark.catalog.refreshTable(table)
     if number:
-        _delete(spark, _versioned(stem, number - 1))
-
-
-def _location(spark: SparkSession, table: str, partition: str = "") -> str:
-    """Directory of a table, or of one partition given as a specification."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").collect()
-    names = [r["col_name"] for r in rows]
-    part = "# Detailed Partition Information" if partition else "# Detailed Table Information"
-    return rows[names.index("Location", names.index(part))]["data_type"]
+        storage.delete(spark, _versioned(stem, number - 1))
 
 
 def _version(path: str) -> tuple[str, int]:
@@ -130,30 +118,9 @@ def _versioned(stem: str, number: int) -> str:
     return f"{stem}-version-{number}" if number else stem
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Delete a directory through the file system its address names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.delete(hadoop_path, True)
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only partitions that get rows. Table inserts take this from the session."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
-
-
 def overwrite_partitions(df: DataFrame, table: str, partition: str) -> None:
     """Replace the partitions that occur in ``df``; others stay. ``df`` may read the table."""
-    spark = df.sparkSession
-    columns = spark.table(table).columns
-    with _dynamic_overwrite(spark):
-        df.select(*columns).hint("rebalance", partition).write.insertInto(table, overwrite=True)
+    commits.commit(df, table, partition)
 
 
 def in_partitions(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
@@ -174,11 +141,17 @@ def _of_values(df: DataFrame, partition: str, values: Sequence[Any]) -> DataFram
     return df.where(wanted | F.col(partition).isNull() if len(listed) < len(values) else wanted)
 
 
-def _stored(source: DataFrame, label: str) -> DataFrame:
-    """The rows, computed once and kept in the shared folder for the rest of the merge."""
-    path = workspace(source.sparkSession, label)
-    source.write.parquet(path)
-    return source.sparkSession.read.schema(source.schema).parquet(path)
+@contextmanager
+def stored(source: DataFrame, label: str, reader: SparkSession | None = None
+           ) -> Iterator[DataFrame]:
+    """The rows, computed once and kept in the shared folder until the block ends."""
+    spark = source.sparkSession
+    path = workspace(spark, label)
+    try:
+        source.write.parquet(path)
+        yield (reader or spark).read.schema(source.schema).parquet(path)
+    finally:
+        storage.delete(spark, path)
 
 
 def insert_new(source: DataFrame, table: str, keys: Sequence[str], dedupe_source: bool = False,
@@ -190,33 +163,47 @@ def insert_new(source: DataFrame, table: str, keys: Sequence[str], dedupe_source
 
 
 def upsert(source: DataFrame, table: str, keys: Sequence[str], partition: str,
-           order: Sequence[str | Column] = (), key_fixes_partition: bool = False) -> None:
+           order: Sequence[str | Column] = (), key_fixes_partition: bool = False,
+           is_stored: bool = False, settings: Mapping[str, str] | None = None) -> None:
     """Merge into a partitioned table by key, rewriting only partitions that change.
 
     A matched row may sit in another partition than its replacement. Those partitions are found
     by a scan of key and partition columns alone, which ``key_fixes_partition`` skips when equal
-    keys always have the same partition value.
+    keys always have the same partition value. A source that ``is_stored`` is not stored again;
+    ``settings`` become table properties together with the rows.
     """
     rows = keep_first(source, keys, order) if order else source
-    _merge_partitions(rows, table, keys, partition, key_fixes_partition, merge.upsert)
+    with nullcontext(rows) if is_stored else stored(rows, "merge-source") as rows:
+        _merge(rows, table, keys, partition, key_fixes_partition, merge.upsert, settings)
 
 
 def delete_insert(source: DataFrame, table: str, keys: Sequence[str], partition: str,
                   key_fixes_partition: bool = False) -> None:
     """Delete matching keys and insert every source row, partition by partition."""
-    _merge_partitions(source, table, keys, partition, key_fixes_partition, merge.delete_insert)
+    with stored(source, "merge-source") as rows:
+        _merge(rows, table, keys, partition, key_fixes_partition, merge.delete_insert)
 
 
-def _merge_partitions(source: DataFrame, table: str, keys: Sequence[str], partition: str,
-                      key_fixes_partition: bool, strategy: Callable[..., DataFrame]) -> None:
+def _merge(source: DataFrame, table: str, keys: Sequence[str], partition: str,
+           key_fixes_partition: bool, strategy: Callable[..., DataFrame],
+           settings: Mapping[str, str] | None = None) -> None:
+    commits.recover(source.sparkSession, table)
     target = source.sparkSession.table(table)
-    source = _stored(source, "merge-source")
     changed = _values(source, partition)
     if not key_fixes_partition:
         matched = filter_join(target.select(*{*keys, partition}), source, keys, "left_semi")
         changed = list({*changed, *_values(matched, partition)})
     touched = _of_values(target, partition, changed)
-    _replace(strategy(touched, source, keys), table, partition, touched)
+    commits.commit(strategy(touched, source, keys), table, partition,
+                   _texts(target, partition, changed), settings)
+
+
+def _texts(df: DataFrame, partition: str, values: Sequence[Any]) -> list[str | None]:
+    """Partition values as the catalog writes them."""
+    spark = df.sparkSession
+    kind = T.StructType([T.StructField("v", df.schema[partition].dataType)])
+    rows = spark.createDataFrame([(v,) for v in values], kind)
+    return [r[0] for r in rows.select(F.col("v").cast("string")).collect()]
 
 
 def replace_interval(source: DataFrame, table: str, ts: str, start: str, end: str,
@@ -226,12 +213,15 @@ def replace_interval(source: DataFrame, table: str, ts: str, start: str, end: st
     Only the dates of the interval are read and written.
     """
     spark = source.sparkSession
+    commits.recover(spark, table)
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    touched = spark.table(table).where(
-        F.col(partition).between(F.to_date(first), F.to_date(last)))
-    source = _stored(half_open(source, ts, start, end), "interval-source")
+    inside = F.col(partition).between(F.to_date(first), F.to_date(last))
+    present = [(v,) for v in directories(spark, table) if v is not None]
+    dates = spark.createDataFrame(present, "v string").withColumn(partition, F.to_date("v"))
+    touched = spark.table(table).where(inside)
+    # The interval bounds the rows read and the source is read once: nothing needs to be stored.
     result = merge.replace_interval(touched, source, ts, start, end, partition)
-    _replace(result, table, partition, touched)
+    commits.commit(result, table, partition, [r["v"] for r in dates.where(inside).collect()])
 
 
 def incremental(source: DataFrame, table: str, ts: str, keys: Sequence[str], partition: str,
@@ -266,38 +256,9 @@ def newest_in(spark: SparkSession, table: str, ts: str, partition: str) -> Any:
     """
     target = spark.table(table)
     kind = target.schema[partition].dataType
-    names = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    for name in sorted((n for n in names if n != NULL_DIRECTORY), reverse=True):
+    for name in sorted((v for v in directories(spark, table) if v is not None), reverse=True):
         rows = target.where(F.col(partition) == F.lit(name).cast(kind))
         newest = rows.agg(F.max(ts)).first()[0]
         if newest is not None:
             return newest
     return None
-
-
-def _replace(result: DataFrame, table: str, partition: str, touched: DataFrame) -> None:
-    """Write the new content of touched partitions and delete those left without rows.
-
-    Dynamic overwrite leaves a partition alone when no row arrives for it. Both lists of values
-    are taken before anything is written; only key and partition columns are read for them.
-    """
-    emptied = set(_values(touched, partition)) - set(_values(result, partition))
-    overwrite_partitions(result, table, partition)
-    for value in emptied:
-        drop_partition(result.sparkSession, table, partition, value)
-
-
-def drop_partition(spark: SparkSession, table: str, partition: str, value: Any) -> None:
-    """Delete a partition's files and its catalog entry.
-
-    Tables with a path of their own keep the files of a dropped partition, and a later append to
-    the same value would bring the old rows back.
-    """
-    text = "null" if value is None else f"'{value}'"
-    spec = f"PARTITION ({partition} = {text})"
-    path = _location(spark, table, spec)
-    if f"/{partition}=" not in path:
-        raise ValueError(f"{path} is not a directory of one {partition}")
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
-    _delete(spark, path)
-    spark.catalog.refreshTable(table)

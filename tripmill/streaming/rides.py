@@ -12,8 +12,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from tripmill import schemas
 from tripmill.functions.exact import exact_sum
 from tripmill.functions.temporal import from_epoch_ms
-from tripmill.session import ensure_session, workspace
-from tripmill.sinks import tables
+from tripmill.session import ensure_session
+from tripmill.sinks import commits, tables
 
 # Lateness bound, window length, checkpoint pace and parallel instances.
 LATENESS = "5 seconds"
@@ -112,21 +112,39 @@ def append_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def upsert_sink(table: str) -> Callable[[DataFrame, int], None]:
+# Table property that names the last batch of a stream that was merged.
+LEDGER = "merged-batch.{}"
+
+# Fixed value: where a running stream notes its id for the jobs it starts.
+QUERY_ID = "sql.streaming.queryId"
+
+
+def merged_batch(spark: SparkSession, table: str, stream: str) -> int:
+    """Number of the last batch of a stream that a keyed table holds, -1 before the first."""
+    return int(commits.properties(spark, table).get(LEDGER.format(stream), -1))
+
+
+def upsert_sink(table: str, stream: str | None = None) -> Callable[[DataFrame, int], None]:
     """Batch function that keeps the last value per window and zone in a keyed table.
 
     The table is partitioned by the date of the window, which the key fixes, so a batch rewrites
-    the dates of its windows only. Writing the same batch again changes nothing. The batch is stored
-    in the shared folder, so the state is updated once, and merged by a session of its own: the
-    stream's session has the narrow width of its state and no adaptive planning.
+    the dates of its windows only. The number of the batch is committed with its rows, so a batch
+    that comes again is left out. ``stream`` names the sender; by default it is the id of the query,
+    which its checkpoint keeps. The batch is stored once in the shared folder, so the state is
+    updated once, and deleted after the commit. A session of its own merges it: the stream's session
+    has the narrow width of its state and no adaptive planning.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        path = workspace(batch.sparkSession, f"{table}-batch-{batch_id}")
-        dated = batch.withColumn("window_date", F.to_date("window_start"))
-        dated.write.parquet(path)
         session = ensure_session(batch.sparkSession.newSession())
-        tables.upsert(session.read.schema(dated.schema).parquet(path), table,
-                      ["window_start", "PULocationID"], "window_date", key_fixes_partition=True)
+        sender = stream or session.sparkContext.getLocalProperty(QUERY_ID)
+        commits.recover(session, table)
+        if sender and merged_batch(session, table, sender) >= batch_id:
+            return
+        dated = batch.withColumn("window_date", F.to_date("window_start"))
+        ledger = {LEDGER.format(sender): str(batch_id)} if sender else None
+        with tables.stored(dated, f"{table}-batch-{batch_id}", session) as rows:
+            tables.upsert(rows, table, ["window_start", "PULocationID"], "window_date",
+                          key_fixes_partition=True, is_stored=True, settings=ledger)
     return write
 
 
@@ -153,17 +171,21 @@ def stream_session(spark: SparkSession, instances: int | None = None) -> SparkSe
 
 
 def dropped_late(query: StreamingQuery) -> int:
-    """Rows dropped so far because their window had closed."""
+    """Late rows dropped in the reports a query keeps, its last hundred; ``RowCounter`` has all."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
                for progress in query.recentProgress
                for op in progress["stateOperators"])
 
 
 class RowCounter(StreamingQueryListener):
-    """Adds up the input rows of every micro-batch; a query itself keeps only its last hundred."""
+    """Adds up over every micro-batch the rows read and the rows dropped because they were late.
+
+    A query itself keeps only its last hundred reports.
+    """
 
     def __init__(self) -> None:
         self._rows: dict[str, int] = {}
+        self._late: dict[str, int] = {}
         self._ended = threading.Condition()
         self._over: set[str] = set()
 
@@ -173,19 +195,28 @@ class RowCounter(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         run = str(event.progress.runId)
         self._rows[run] = self._rows.get(run, 0) + event.progress.numInputRows
+        self._late[run] = self._late.get(run, 0) + sum(
+            op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
 
     def onQueryTerminated(self, event) -> None:
         with self._ended:
             self._over.add(str(event.runId))
             self._ended.notify_all()
 
-    def rows(self, query: StreamingQuery, timeout: float = 60) -> int:
-        """Rows of a query that has ended; waits until its last report is in."""
+    def _total(self, totals: dict[str, int], query: StreamingQuery, timeout: float) -> int:
         run = str(query.runId)
         with self._ended:
             if not self._ended.wait_for(lambda: run in self._over, timeout):
                 raise TimeoutError(f"no end of query run {run} was reported")
-        return self._rows.get(run, 0)
+        return totals.get(run, 0)
+
+    def rows(self, query: StreamingQuery, timeout: float = 60) -> int:
+        """Rows of a query that has ended; waits until its last report is in."""
+        return self._total(self._rows, query, timeout)
+
+    def dropped_late(self, query: StreamingQuery, timeout: float = 60) -> int:
+        """Rows of a query that has ended which were dropped because their window had closed."""
+        return self._total(self._late, query, timeout)
 
 
 @contextmanager
