@@ -595,3 +595,62 @@ def test_partition_values_with_quotes(spark, tmp_path):
     found = sorted(map(tuple, spark.table(name).collect()), key=lambda r: r[0])
     assert found == [(1, "é 'q' \\"), (2, "a\\b"), (3, "x=y/z %41"), (4, None), (9, "it's not")]
     assert "it's" not in commits.directories(spark, name)
+
+
+def test_headers_of_many_files_are_found_in_one_job(spark, tmp_path, monkeypatch):
+    """Two thousand small files, some compressed, in three layouts, some empty."""
+    import bz2
+    lines = ["a,b\n1,2\n", "b,a\r\n2,1\r\n", "﻿a,\"c,d\"\n1,3\n"]
+    for i in range(2000):
+        raw = lines[i % 3].encode()
+        if i % 50 == 0:
+            (tmp_path / f"{i:04d}.csv.gz").write_bytes(gzip.compress(raw))
+        elif i % 50 == 1:
+            (tmp_path / f"{i:04d} x.csv.bz2").write_bytes(bz2.compress(raw))
+        else:
+            (tmp_path / f"{i:04d}.csv").write_bytes(raw)
+    (tmp_path / "none.csv").write_bytes(b"")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = files.csv_headers(spark, str(tmp_path))
+        jobs = tracker.getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert {k: len(v) for k, v in found.items()} == {
+        ("a", "b"): 667, ("b", "a"): 667, ("a", "c,d"): 666}
+    assert len(jobs) <= 4
+    rows = files.csv_typed(spark, str(tmp_path), T.StructType.fromDDL("a int, b int"))
+    assert rows.groupBy("a", "b").count().orderBy("b").collect() == [(1, None, 666), (1, 2, 1334)]
+
+
+def test_headers_of_other_compressions_come_through_spark(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1)
+    path = str(tmp_path / "d")
+    df.write.option("header", True).option("compression", "deflate").csv(path)
+    assert list(files.csv_headers(spark, path)) == [("a", "b")]
+
+
+def test_footers_are_read_in_one_job_and_lost_stores_are_errors(spark, tmp_path, monkeypatch):
+    from tripmill.sources import heads
+    for m in range(1, 13):
+        kind = "bigint" if m % 2 else "int"
+        spark.range(m).selectExpr(f"cast(id as {kind}) AS VendorID").write.parquet(
+            str(tmp_path / f"yellow_tripdata_2023-{m:02d}.parquet"))
+    (tmp_path / "yellow_tripdata_2024-01.parquet").write_bytes(b"PAR1 but not really")
+    (tmp_path / "yellow_tripdata_2024-02.parquet").mkdir()
+    spark.sparkContext.setJobGroup("footers", "footers")
+    try:
+        found = files.ingest_months(spark, str(tmp_path), ["yellow"], "2023-01-01", "2024-03-01")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("footers")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert [p[-15:-8] for p in found.skipped] == ["2024-01", "2024-02", "2024-03"]
+    assert found.rows == found.trips.count() == sum(range(1, 13))
+    assert len(jobs) <= 4  # one for the footers, one for each distinct schema
+
+    def lost(path):
+        raise ConnectionError(path)
+    monkeypatch.setattr(heads, "opened", lost)
+    with pytest.raises(ConnectionError):
+        heads._footer("file:/x")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tripmill import schemas
 from tripmill.functions.temporal import month_list
+from tripmill.sources import heads
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -32,23 +33,12 @@ def csv_inferred(spark: SparkSession, path: str | Sequence[str],
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """Column names of the header lines, each with the files that begin with it.
 
-    Reads the first line of every file, compressed or not, and nothing else.
+    Tasks read the first line of every file, compressed or not, and nothing else.
     """
-    hadoop = spark._jsc.hadoopConfiguration()
-    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(hadoop)
-    java = spark._jvm.java.io
     found: dict[tuple[str, ...], list[str]] = {}
-    for file in spark.read.text(path).inputFiles():
-        name = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
-        stream = name.getFileSystem(hadoop).open(name)
-        codec = codecs.getCodec(name)
-        lines = java.BufferedReader(java.InputStreamReader(
-            codec.createInputStream(stream) if codec else stream, "UTF-8"))
-        line = lines.readLine()
-        lines.close()
-        if line is not None:
-            names = tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
-            found.setdefault(names, []).append(file)
+    listed = [unquote(f) for f in spark.read.text(path).inputFiles()]
+    for line, files in heads.first_lines(spark, listed).items():
+        found.setdefault(heads.header_names(line), []).extend(files)
     return found
 
 
@@ -154,10 +144,12 @@ def month_path(root: str, service: str, year: int, month: int,
 
 @dataclass(frozen=True)
 class Ingest:
-    """Trips of several months, and the files that were not there or could not be read."""
+    """Trips of several months, the files that were not there or could not be read, and the rows
+    that the footers of the others promise."""
 
     trips: DataFrame
     skipped: list[str]
+    rows: int
 
 
 def ingest_months(spark: SparkSession, root: str, services: Iterable[str],
@@ -165,26 +157,31 @@ def ingest_months(spark: SparkSession, root: str, services: Iterable[str],
     """Trips of all services and months in a closed range, in the ingestion schema.
 
     Published months differ in column types and in the case of names, so files are grouped by the
-    schema in their footer: one scan for each distinct schema, cast to the ingestion schema. A file
-    that is missing or whose footer cannot be read is reported, not an error; with no file at all
-    the result is empty but has the full schema.
+    schema in their footer: one job reads all footers, and there is one scan for each distinct
+    schema, cast to the ingestion schema. A file that is missing or that is no Parquet is reported,
+    not an error; a store that does not answer is an error. With no file at all the result is empty
+    but has the full schema.
     """
-    result, skipped = empty(spark, schemas.INGESTED), []
-    for service in services:
-        alike: dict[str, tuple[T.StructType, list[str]]] = {}
-        for y, m in month_list(first, last):
-            path = month_path(root, service, y, m, template)
-            schema = footer_schema(spark, path) if path_exists(spark, path) else None
-            if schema is None:
-                skipped.append(path)
-            else:
-                alike.setdefault(schema.json(), (schema, []))[1].append(path)
-        for schema, paths in alike.values():
-            rows = spark.read.schema(schema).parquet(*paths)
-            result = result.unionByName(
-                _as_ingested(rows).withColumn("taxi_type", F.lit(service)),
-                allowMissingColumns=True)
-    return Ingest(result, skipped)
+    result, skipped, rows = empty(spark, schemas.INGESTED), [], 0
+    paths = {month_path(root, service, y, m, template): service
+             for service in services for y, m in month_list(first, last)}
+    alike: dict[tuple[str, str], list[str]] = {}
+    for path, state, schema, n in sorted(map(tuple, heads.footers(spark, list(paths)).collect())):
+        if state == "unknown":  # a store that only Spark reads
+            found = footer_schema(spark, path) if path_exists(spark, path) else None
+            state, schema = ("read", found.json()) if found else ("missing", None)
+        if state == "read":
+            alike.setdefault((paths[path], schema), []).append(path)
+            rows += n or 0
+        else:
+            skipped.append(path)
+    for (service, _), files in alike.items():
+        found = spark.read.schema(spark.read.parquet(files[0]).schema).parquet(*files)
+        result = result.unionByName(
+            _as_ingested(found).withColumn("taxi_type", F.lit(service)),
+            allowMissingColumns=True)
+    order = list(paths)
+    return Ingest(result, sorted(skipped, key=order.index), rows)
 
 
 def footer_schema(spark: SparkSession, path: str) -> T.StructType | None:
