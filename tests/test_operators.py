@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, scans_of
 from tripmill import schemas
-from tripmill.operators import aggregates, dedupe, filters, joins, merge, partitions, projections, quality, skew
+from tripmill.operators import (
+    aggregates, dedupe, filters, joins, keyfilter, merge, partitions, projections, quality, skew)
 from tripmill.plans import layers, loads, revenue, star
+from tripmill.session import table_name
+from tripmill.sinks import tables
 from tripmill.sources import adapters, files
 
 NOON = datetime(2020, 1, 1, 12, 0, 0)
@@ -389,3 +392,47 @@ def test_predict_batches_adds_one_column(spark):
     df = spark.createDataFrame([(1, 2.0), (2, None)], "id int, trip_distance double")
     got = partitions.predict_batches(df, partitions.distance_times_five).collect()
     assert [tuple(r) for r in got] == [(1, 2.0, 10.0), (2, None, None)]
+
+
+def test_key_filter_keeps_every_match_and_little_else(spark):
+    source = spark.range(0, 3000, 3).selectExpr("id AS a", "CAST(id % 7 AS STRING) AS b")
+    target = spark.range(200_000).selectExpr("id AS a", "CAST(id % 7 AS STRING) AS b",
+                                             "id AS payload")
+    found = keyfilter.likely(target, source, ["a", "b"])
+    assert found.join(source, ["a", "b"], "left_semi").count() == 1000
+    assert found.count() <= 1000 + 0.02 * 200_000
+    assert keyfilter.likely(target, source.limit(0), ["a", "b"]).count() == 0
+    nulls = target.withColumn("b", F.lit(None).cast("string"))
+    assert keyfilter.likely(nulls, source.union(nulls.select("a", "b")), ["a", "b"]).count() == 0
+    assert "Python" not in plan_of(found) and "Join" not in plan_of(found)
+
+
+def test_key_filter_size_is_bounded():
+    assert keyfilter.words_for(0) == keyfilter.FEWEST_WORDS
+    assert 64 * keyfilter.words_for(100_000) >= keyfilter.BITS_PER_KEY * 100_000
+    assert keyfilter.words_for(10 ** 12) == keyfilter.MOST_WORDS
+
+
+def test_insert_new_with_a_filter_full_of_wrong_keys(spark, tmp_path, monkeypatch):
+    """With every bit set, all target rows pass the filter; the join alone decides."""
+    monkeypatch.setattr(keyfilter, "FEWEST_WORDS", 1)
+    monkeypatch.setattr(keyfilter, "MOST_WORDS", 1)
+    name = table_name("insert")
+    tables.create_as(spark.range(0, 500).withColumn("v", F.lit("old")), name,
+                     str(tmp_path / name))
+    source = spark.range(400, 900).withColumn("v", F.lit("new"))
+    assert keyfilter.likely(spark.table(name), source, ["id"]).count() == 500
+    for _ in range(2):
+        tables.insert_new(source, name, ["id"])
+    got = spark.table(name).groupBy("v").agg(F.count("*"), F.min("id")).collect()
+    assert sorted(map(tuple, got)) == [("new", 400, 500), ("old", 500, 0)]
+
+
+def test_insert_new_shuffles_as_many_target_rows_as_the_source_has(spark, tmp_path):
+    name = table_name("insert")
+    tables.create_as(spark.range(0, 300_000), name, str(tmp_path / name))
+    source = spark.range(299_000, 301_000)
+    known = keyfilter.likely(spark.table(name), source, ["id"])
+    assert 1000 <= known.count() <= 1000 + 0.02 * 300_000
+    tables.insert_new(source, name, ["id"])
+    assert spark.table(name).count() == 301_000

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tripmill.operators import merge
 from tripmill.operators.dedupe import keep_first
 from tripmill.operators.filters import half_open, later_than
+from tripmill.operators.keyfilter import likely
 from tripmill.operators.skew import filter_join
 from tripmill.session import workspace
 from tripmill.sinks import commits, storage
@@ -156,10 +157,15 @@ def stored(source: DataFrame, label: str, reader: SparkSession | None = None
 
 def insert_new(source: DataFrame, table: str, keys: Sequence[str], dedupe_source: bool = False,
                order: Sequence[str | Column] = ()) -> None:
-    """Insert-only merge: rows with unknown keys are appended, nothing is rewritten."""
-    spark = source.sparkSession
-    target = spark.table(table)
-    append_rows(merge.new_rows(target, source, keys, dedupe_source, order), table)
+    """Insert-only merge: rows with unknown keys are appended, nothing is rewritten.
+
+    The target's keys are tested against a filter of the source's keys while they are scanned; only
+    those that may match are shuffled, and a join confirms them.
+    """
+    target = source.sparkSession.table(table)
+    with stored(source, "insert-source") as rows:
+        known = likely(target.select(*keys), rows, keys)
+        append_rows(merge.new_rows(known, rows, keys, dedupe_source, order), table)
 
 
 def upsert(source: DataFrame, table: str, keys: Sequence[str], partition: str,
