@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tripmill.functions.exact import exact_avg
 from tripmill.functions.keys import number_text
+from tripmill.operators.selection import medians
+from tripmill.session import workspace
 
 # Feature columns, label and the text that stands for a null category.
 NUMERIC = ["passenger_count", "trip_distance", "fare_amount", "tolls_amount"]
@@ -124,6 +126,56 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.select(*rows.columns, F.col("prediction").alias(f"predicted_{LABEL}"))
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Feature rows with ``is_eval``, stored once, and the model of their training side."""
+
+    rows: DataFrame
+    model: PipelineModel
+
+    def training(self) -> DataFrame:
+        return self.rows.where(~F.col("is_eval")).drop("is_eval")
+
+    def evaluation(self) -> DataFrame:
+        return self.rows.where("is_eval").drop("is_eval")
+
+    def every(self) -> DataFrame:
+        return self.rows.drop("is_eval")
+
+
+MOST_KEPT = 4
+_prepared: dict[tuple[str, str], Prepared] = {}
+
+
+def digest(rows: DataFrame) -> str:
+    """A digest of all rows in any order, from one aggregate."""
+    whole = F.xxhash64(*rows.columns).cast("decimal(38,0)")
+    other = F.xxhash64(F.lit(1), *rows.columns).cast("decimal(38,0)")
+    return "-".join(map(str, rows.agg(F.count("*"), F.sum(whole), F.sum(other)).first()))
+
+
+def prepared(rows: DataFrame) -> Prepared:
+    """Rows dealt to their sides and stored, and the model, both kept by a digest of the rows.
+
+    The digests that decide the sides are worked out once; all passes of the fit read the stored
+    rows. The last few inputs of an application are kept.
+    """
+    spark = rows.sparkSession
+    key = spark.sparkContext.applicationId, digest(rows)
+    found = _prepared.get(key)
+    if found is None:
+        path = workspace(spark, "tip-rows")
+        dealt = split(rows)
+        dealt.write.partitionBy("is_eval").parquet(path)
+        stored = spark.read.schema(dealt.schema).parquet(path)
+        training = stored.where(~F.col("is_eval")).drop("is_eval")
+        found = Prepared(stored, train(training))
+        while len(_prepared) >= MOST_KEPT:
+            del _prepared[next(iter(_prepared))]
+        _prepared[key] = found
+    return found
+
+
 def evaluate(predictions: DataFrame) -> DataFrame:
     """Error metrics of predictions, from one aggregate."""
     label, guess = F.col(LABEL), F.col(f"predicted_{LABEL}")
@@ -150,24 +202,50 @@ def evaluate_with(predictions: DataFrame, metric: str) -> float:
                                metricName=metric).evaluate(predictions)
 
 
-def feature_info(rows: DataFrame, error: float = 0.0001) -> DataFrame:
+def residual_moments(scored: DataFrame) -> DataFrame:
+    """What a least-squares fit makes zero, from one aggregate over its training rows.
+
+    ``input``, ``category``, ``n`` and ``moment``: the sum of value times residual over the root of
+    both sums of squares, for the intercept, each numeric input, each category value (as a value of
+    1) and the prediction itself. Rows need the inputs, the label and the prediction.
+    """
+    guess, label = F.col(f"predicted_{LABEL}"), F.col(LABEL)
+    rows = filled(scored).withColumn("residual", label - guess)
+    values = [F.struct(F.lit(name).alias("input"), F.lit(None).cast("string").alias("category"),
+                       value.alias("x"))
+              for name, value in [("intercept", F.lit(1.0)), ("prediction", guess),
+                                  *[(c, F.col(c)) for c in NUMERIC]]]
+    values += [F.struct(F.lit(c).alias("input"), F.col(c).alias("category"),
+                        F.lit(1.0).alias("x")) for c in CATEGORICAL]
+    stacked = rows.select("residual", F.inline(F.array(*values)))
+    sums = stacked.groupBy("input", "category").agg(
+        F.count("x").alias("n"), F.sum(F.col("x") * F.col("residual")).alias("xr"),
+        F.sum(F.col("x") * F.col("x")).alias("xx"),
+        F.sum(F.col("residual") * F.col("residual")).alias("rr"))
+    size = F.sqrt(F.col("xx") * F.col("rr"))
+    return sums.select("input", "category", "n",
+                       F.coalesce(F.col("xr") / F.nullif(size, F.lit(0.0)), F.lit(0.0))
+                       .alias("moment"))
+
+
+def feature_info(rows: DataFrame) -> DataFrame:
     """Per input: min, max, mean, median, deviation, number of categories and of nulls.
 
-    All inputs share one pass. The median is a mergeable summary, so no task sorts all values.
+    All inputs share one pass, and their medians the few passes of a selection.
     """
-    accuracy = int(1 / error)
     aggregates, structs = [], []
+    middle = medians(rows, NUMERIC)
     for i, name in enumerate(NUMERIC):
         col = F.col(name).cast("double")
         aggregates += [
             F.min(col).alias(f"min{i}"), F.max(col).alias(f"max{i}"),
             exact_avg(col).alias(f"mean{i}"),
-            F.percentile_approx(col, 0.5, accuracy).alias(f"median{i}"),
             F.stddev_samp(col).alias(f"stddev{i}"), F.count_if(col.isNull()).alias(f"null{i}")]
         structs.append(F.struct(
-            F.lit(name).alias("input"), *[F.col(f"{s}{i}").alias(a) for s, a in [
-                ("min", "min"), ("max", "max"), ("mean", "mean"), ("median", "median"),
-                ("stddev", "stddev")]],
+            F.lit(name).alias("input"), F.col(f"min{i}").alias("min"),
+            F.col(f"max{i}").alias("max"), F.col(f"mean{i}").alias("mean"),
+            F.lit(middle[name]).cast("double").alias("median"),
+            F.col(f"stddev{i}").alias("stddev"),
             F.lit(None).cast("bigint").alias("category_count"),
             F.col(f"null{i}").alias("null_count")))
     numeric = rows.agg(*aggregates).select(F.inline(F.array(*structs)))
