@@ -436,3 +436,28 @@ def test_insert_new_shuffles_as_many_target_rows_as_the_source_has(spark, tmp_pa
     assert 1000 <= known.count() <= 1000 + 0.02 * 300_000
     tables.insert_new(source, name, ["id"])
     assert spark.table(name).count() == 301_000
+
+
+def test_profile_shows_the_first_rows(spark, rows):
+    df = spark.createDataFrame([(3, "c"), (1, None), (2, "b")], "a int, b string")
+    assert rows(quality.profile(df, 2)) == [("a", "int", 3, 3, "1 | 2"),
+                                            ("b", "string", 2, 3, "NULL | b")]
+    assert [r["head"] for r in quality.profile(df.limit(0), 2).collect()] == ["", ""]
+
+
+def test_sums_by_ordinal_and_by_reduce_keep_fine_values_and_nan(spark):
+    at = datetime(2020, 1, 1, 5)
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(at, 1, 0.00001), (at, 1, 0.00002), (at, 2, 1.5), (at, 2, nan), (at, 3, None), (at, 4, 1e300)],
+        "t timestamp, PULocationID int, total_amount double")
+    found = {r["zone"]: r["revenue"] for r in
+             partitions.revenue_by_reduce(df, "2019-01-01", "t").collect()}
+    assert found[1] == pytest.approx(0.00003) and found[4] == 1e300
+    assert found[2] != found[2] and found[3] is None
+    from tripmill.functions.exact import exact_sum, exact_sum_sql
+    by_sql = spark.sql(f"SELECT PULocationID AS z, {exact_sum_sql('total_amount')} AS s "
+                       "FROM {df} GROUP BY 1", df=df)
+    plain = df.groupBy("PULocationID").agg(exact_sum("total_amount").alias("s"))
+    assert sorted(map(str, by_sql.collect())) == sorted(
+        map(str, plain.withColumnRenamed("PULocationID", "z").collect()))

@@ -654,3 +654,28 @@ def test_footers_are_read_in_one_job_and_lost_stores_are_errors(spark, tmp_path,
     monkeypatch.setattr(heads, "opened", lost)
     with pytest.raises(ConnectionError):
         heads._footer("file:/x")
+
+
+def test_landing_manifest_and_second_run(spark, tmp_path):
+    """Subfolders, digests, and a retry that copies only what is not there in full."""
+    import hashlib
+    source, raw = tmp_path / "in", tmp_path / "raw"
+    (source / "2020" / "01").mkdir(parents=True)
+    content = {"a.csv": b"x\n1\n", "2020/01/b.csv": b"\x00\xff" * 70_000, "2020/c d.csv": b"",
+               "_hidden/x": b"no", "2020/.tmp": b"no"}
+    (source / "_hidden").mkdir()
+    for name, data in content.items():
+        (source / name).write_bytes(data)
+    want = {(n, len(d), hashlib.sha256(d).hexdigest()) for n, d in content.items()
+            if "_" not in n and "." != n.split("/")[-1][0]}
+
+    def run():
+        rows = out.land(spark, str(source), str(raw)).collect()
+        assert {(r.file, r.length, r.sha256) for r in rows} == want
+        return {r.file for r in rows if not r.kept}
+    assert run() == {w[0] for w in want}
+    assert run() == set()
+    (raw / "a.csv").write_bytes(b"x\n9\n")
+    (raw / "2020" / "01" / "b.csv").write_bytes(b"torn")
+    assert run() == {"a.csv", "2020/01/b.csv"}
+    assert all((raw / n).read_bytes() == content[n] for n, _, _ in want)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tripmill.catalog.joins import zone_day_sums
 from tripmill.catalog.prelude import mean, total
 from tripmill.catalog.registry import query
+from tripmill.functions.exact import exact_sum_sql
 from tripmill.operators import aggregates as agg, filters
 from tripmill.operators.aggregates import MONTHLY_MEANS, MONTHLY_SUMS
 from tripmill.plans import layers, revenue, star
@@ -95,11 +96,10 @@ def agg_report_by_type(spark, d):
 SELECT date_trunc('month', pickup_datetime) AS month, service_type, PULocationID,
   {total('total_amount')} AS amount, count(*) AS n FROM trips GROUP BY 1, 2, 3""")
 def agg_group_ordinal(spark, d):
-    return spark.sql("""
+    return spark.sql(f"""
         SELECT date_trunc('month', pickup_datetime) AS month, service_type, PULocationID,
-          sum(cast(rint(total_amount * 10000.0D) AS bigint)) / 10000.0D AS amount,
-          count(*) AS n
-        FROM {trips} GROUP BY 1, 2, 3""", trips=adapters.trips(spark, d))
+          {exact_sum_sql('total_amount')} AS amount, count(*) AS n
+        FROM {{trips}} GROUP BY 1, 2, 3""", trips=adapters.trips(spark, d))
 
 
 @query("agg_avg_rounded", f"""

@@ -87,15 +87,25 @@ def dq_report(spark, d):
         [["VendorID", "pickup_datetime", "PULocationID", "service_type"]])
 
 
-_PROFILED = {"VendorID": "int", "pickup_datetime": "timestamp", "store_and_fwd_flag": "string",
-             "total_amount": "double", "payment_type": "int", "congestion_surcharge": "double"}
-
-
-@query("dq_profile", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{k}' AS column_type, count({c}) AS non_null, "
-    f"count(*) AS row_count FROM trips" for c, k in _PROFILED.items()))
+_PROFILED = {
+    "VendorID": "int", "pickup_datetime": "timestamp", "dropoff_datetime": "timestamp",
+    "store_and_fwd_flag": "string", "RatecodeID": "int", "PULocationID": "int",
+    "DOLocationID": "int", "passenger_count": "int", "trip_distance": "double",
+    "fare_amount": "double", "extra": "double", "mta_tax": "double", "tip_amount": "double",
+    "tolls_amount": "double", "improvement_surcharge": "double", "total_amount": "double",
+    "payment_type": "int", "congestion_surcharge": "double", "service_type": "string"}
+_HEAD = 5
+
+
+@query("dq_profile", f""", first_rows AS (
+  SELECT *, row_number() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _PROFILED)}) AS place
+  FROM trips QUALIFY place <= {_HEAD})""" + " UNION ALL ".join(
+    f"""
+SELECT '{c}' AS column_name, '{k}' AS column_type, count({c}) AS non_null, count(*) AS row_count,
+  (SELECT coalesce(string_agg(coalesce(CAST({c} AS VARCHAR), 'NULL'), ' | ' ORDER BY place), '')
+   FROM first_rows) AS head FROM trips""" for c, k in _PROFILED.items()))
 def dq_profile(spark, d):
-    return quality.profile(adapters.trips(spark, d).select(*_PROFILED))
+    return quality.profile(adapters.trips(spark, d).select(*_PROFILED), _HEAD)
 
 
 _TABLES = ["lineitem", "orders", "events", "customer", "nation"]

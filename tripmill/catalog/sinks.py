@@ -165,14 +165,12 @@ def snk_warehouse_connector(spark, d):
     return parquet(spark, path)
 
 
-@query("snk_upload_stage", """
-SELECT CAST(VendorID AS VARCHAR) AS VendorID, CAST(PULocationID AS VARCHAR) AS PULocationID,
-  store_and_fwd_flag FROM green""")
+@query("snk_upload_stage", "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM green")
 def snk_upload_stage(spark, d):
     landed = csv_of(spark, adapters.green(spark, d), "landed")
     raw = workspace(spark, "raw")
     files.copy_raw(spark, landed, raw)
-    return csv_text(spark, raw).select("VendorID", "PULocationID", "store_and_fwd_flag")
+    return csv_text(spark, raw)
 
 
 @query("snk_temp_view", "SELECT service_type, count(*) AS n FROM trips GROUP BY 1")

@@ -35,3 +35,11 @@ def exact_sum(col: Column | str, scale: int = SCALE) -> Column:
 def exact_avg(col: Column | str, scale: int = SCALE) -> Column:
     """Mean over non-null values, computed from the exact sum."""
     return exact_sum(col, scale) / F.count(col)
+
+
+def exact_sum_sql(col: str, scale: int = SCALE) -> str:
+    """``exact_sum`` as text of Spark SQL."""
+    units = f"rint(CAST({col} AS double) * {float(scale)}D)"
+    fits = f"abs({units}) <= {MOST_UNITS!r}D"
+    return (f"coalesce(sum(CASE WHEN {fits} THEN CAST({units} AS bigint) END), 0) / {float(scale)}D"
+            f" + sum(CASE WHEN {fits} THEN {col} - {units} / {float(scale)}D ELSE {col} END)")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 @dataclass(frozen=True)
@@ -74,12 +74,27 @@ def report(df: DataFrame, checks: Sequence[RowCheck],
     return reduce(DataFrame.unionByName, parts)
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Column name, type, non-null count and row count, from one pass."""
+def profile(df: DataFrame, head: int = 0, order: Sequence[str] = ()) -> DataFrame:
+    """Column name, type, non-null count and row count, from one pass.
+
+    With ``head``, also the values of that many first rows as text, one line of them per column, by
+    ``order`` or else by all columns. These come from a top-k, which keeps ``head`` rows a task.
+    """
     counts = df.agg(F.count(F.lit(1)).alias("n"),
-                    *[F.count(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+                    *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    if head:
+        top = df.orderBy(*(order or df.columns)).limit(head)
+        shown = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL")).alias(f"h{i}")
+                 for i, c in enumerate(df.columns)]
+        place = F.row_number().over(Window.orderBy(*(order or df.columns))).alias("place")
+        top = top.select(place, *shown)
+        heads = top.agg(*[F.array_join(F.transform(
+            F.sort_array(F.collect_list(F.struct("place", F.col(f"h{i}").alias("shown")))),
+            lambda x: x["shown"]), " | ").alias(f"h{i}") for i in range(len(shown))])
+        counts = counts.join(heads)  # one row each
     rows = [F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("column_type"),
-                     F.col(f"c{i}").alias("non_null"), F.col("n").alias("row_count"))
+                     F.col(f"c{i}").alias("non_null"), F.col("n").alias("row_count"),
+                     *([F.col(f"h{i}").alias("head")] if head else []))
             for i, (name, kind) in enumerate(df.dtypes)]
     return counts.select(F.inline(F.array(*rows)))
 

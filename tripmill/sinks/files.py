@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -11,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from tripmill import schemas
+from tripmill.session import workspace
 from tripmill.sources.files import csv_typed, month_path, path_exists
 
 
@@ -106,31 +108,78 @@ COPY_BYTES = 4 << 20
 def copy_raw(spark: SparkSession, source: str, target: str) -> int:
     """Land files as they are, byte for byte, in the raw area before they are loaded.
 
-    One task for each file streams it through the file systems that the two addresses name. A file
-    appears under its name only when it is complete. Returns the number of files.
+    Returns the number of files. ``land`` also tells what they hold.
     """
+    return land(spark, source, target).count()
+
+
+def land(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Copy all files of a folder and its subfolders; their manifest: ``file`` (below the folder),
+    ``length``, ``sha256`` and whether the file was there already (``kept``).
+
+    Tasks stream files through the file systems that the two addresses name and take the digest on
+    the way. A file appears under its name only when it is complete and as long as its source. On
+    a second run a file that is there with the same digest is left alone. The manifest is stored
+    in the shared folder, so that looking at it does not copy again.
+    """
+    spark_path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    file_system = spark_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = file_system.makeQualified(spark_path).toString().rstrip("/")
+    listed, walk = [], file_system.listFiles(spark_path, True)
+    while walk.hasNext():
+        name = walk.next().getPath().toString().removeprefix(root).lstrip("/")
+        if not any(part[0] in "_." for part in name.split("/")):
+            listed.append((name,))
+
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
+        reading, from_root = arrow_fs.FileSystem.from_uri(_uri(root))
+        writing, to_root = arrow_fs.FileSystem.from_uri(_uri(target))
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                name = path.rpartition("/")[2]
-                reading, source_path = arrow_fs.FileSystem.from_uri(_uri(path))
-                writing, folder = arrow_fs.FileSystem.from_uri(_uri(target))
-                writing.create_dir(folder, recursive=True)
-                draft = f"{folder}/_{name}.{attempt}"
-                with reading.open_input_stream(source_path, compression=None) as from_file, \
-                        writing.open_output_stream(draft, compression=None) as to_file:
-                    while chunk := from_file.read(COPY_BYTES):
-                        to_file.write(chunk)
-                writing.move(draft, f"{folder}/{name}")
-            yield batch
-
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(source)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    listed = [f for f in file_system.listStatus(hadoop_path)
-              if f.isFile() and f.getPath().getName()[0] not in "_."]
-    paths = spark.createDataFrame([(f.getPath().toString(),) for f in listed], "path string")
-    return paths.repartition(max(1, len(listed))).mapInArrow(copy, "path string").count()
+            names = batch.column(0).to_pylist()
+            found = [_copied(reading, f"{from_root}/{n}", writing, f"{to_root}/{n}", attempt)
+                     for n in names]
+            yield pa.RecordBatch.from_pydict({
+                "file": pa.array(names, pa.string()),
+                "length": pa.array([f[0] for f in found], pa.int64()),
+                "sha256": pa.array([f[1] for f in found], pa.string()),
+                "kept": pa.array([f[2] for f in found], pa.bool_())})
+
+    schema = "file string, length bigint, sha256 string, kept boolean"
+    paths = spark.createDataFrame(listed, "file string").repartition(max(1, len(listed)))
+    manifest = workspace(spark, "landing-manifest")
+    paths.mapInArrow(copy, schema).write.parquet(manifest)
+    return spark.read.schema(schema).parquet(manifest)
+
+
+def _digest(files: arrow_fs.FileSystem, path: str, out=None) -> tuple[int, str]:
+    """Length and digest of a file, which goes to ``out`` as it is read."""
+    length, digest = 0, hashlib.sha256()
+    with files.open_input_stream(path, compression=None) as stream:
+        while chunk := stream.read(COPY_BYTES):
+            length += len(chunk)
+            digest.update(chunk)
+            if out:
+                out.write(chunk)
+    return length, digest.hexdigest()
+
+
+def _copied(reading: arrow_fs.FileSystem, source: str, writing: arrow_fs.FileSystem, target: str,
+            attempt: int) -> tuple[int, str, bool]:
+    info = writing.get_file_info(target)
+    if info.type == arrow_fs.FileType.File and info.size == reading.get_file_info(source).size:
+        there = _digest(writing, target)
+        if there == _digest(reading, source):
+            return *there, True
+    folder, _, name = target.rpartition("/")
+    writing.create_dir(folder, recursive=True)
+    draft = f"{folder}/_{name}.{attempt}"
+    with writing.open_output_stream(draft, compression=None) as out:
+        found = _digest(reading, source, out)
+    if writing.get_file_info(draft).size != found[0]:
+        raise OSError(f"{source} was not copied in full")
+    writing.move(draft, target)
+    return *found, False
 
 
 def _uri(path: str) -> str:

@@ -163,7 +163,8 @@ def ingest_months(spark: SparkSession, root: str, services: Iterable[str],
     but has the full schema.
     """
     result, skipped, rows = empty(spark, schemas.INGESTED), [], 0
-    paths = {month_path(root, service, y, m, template): service
+    home = heads.qualified(spark, root)
+    paths = {month_path(home, service, y, m, template): service
              for service in services for y, m in month_list(first, last)}
     alike: dict[tuple[str, str], list[str]] = {}
     for path, state, schema, n in sorted(map(tuple, heads.footers(spark, list(paths)).collect())):
@@ -181,7 +182,8 @@ def ingest_months(spark: SparkSession, root: str, services: Iterable[str],
             _as_ingested(found).withColumn("taxi_type", F.lit(service)),
             allowMissingColumns=True)
     order = list(paths)
-    return Ingest(result, sorted(skipped, key=order.index), rows)
+    named = [root + p.removeprefix(home) for p in sorted(skipped, key=order.index)]
+    return Ingest(result, named, rows)
 
 
 def footer_schema(spark: SparkSession, path: str) -> T.StructType | None:

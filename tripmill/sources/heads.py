@@ -28,6 +28,12 @@ def _paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return rows.repartition(max(1, -(-len(paths) // FILES_A_TASK)))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme that Spark would read it by."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(name).toString()
+
+
 def opened(path: str) -> tuple[arrow_fs.FileSystem, str] | None:
     """File system and name of a path; None for a system that pyarrow does not know."""
     try:
@@ -131,7 +137,10 @@ def _footer(path: str) -> tuple[str, str | None, int | None]:
 
 
 def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``path``, ``state``, ``schema`` (a digest) and ``rows`` of Parquet files or folders."""
+    """``path``, ``state``, ``schema`` (a digest) and ``rows`` of Parquet files or folders.
+
+    Paths have a scheme (``qualified``) and no escapes.
+    """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
