@@ -45,7 +45,9 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent of words
 
+MARK = "▁"
 WORD_CHARS = 64
+WORDS_AT_ONCE = 256
 CACHED_WORDS = 400_000
 CACHED_BYTES = 48
 
@@ -83,41 +85,74 @@ def script_of(text: str) -> str | None:
 
 
 class Vocabularies:
-    """A piece model with byte fallback and a byte-level rank file; encodes words behind a space."""
+    """A piece model with byte fallback and a byte-level rank file; encodes words behind a space.
+
+    Neither lets a token reach over a space, so words without white space of their own are encoded
+    many at once and cut where a token begins with the space.
+    """
 
     def __init__(self, pieces: str, ranks: str, pattern: str) -> None:
         self.model = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.size = self.model.get_piece_size()
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
+        self.opens = np.array([self.model.id_to_piece(i).startswith(MARK)
+                               for i in range(self.size)])
         with open(ranks, "rb") as lines:
             pairs = dict(line.split() for line in lines if line.strip())
-        self.ranks = tiktoken.Encoding(
-            "ranks", pat_str=pattern, special_tokens={},
-            mergeable_ranks={base64.b64decode(k): int(v) for k, v in pairs.items()})
-        self.known: dict[bytes, tuple[bytes, int]] = {}
-
-    def _encoded(self, words: list[bytes]) -> list[tuple[bytes, int]]:
-        texts = [w.decode() for w in words]
-        parts = [[t[i:i + WORD_CHARS] for i in range(0, len(t), WORD_CHARS)]
-                 if len(t) > WORD_CHARS else [t] for t in texts]
-        pieces = iter(self.model.encode([p for own in parts for p in own], num_threads=1))
-        count = self.ranks.encode_ordinary
-        return [(np.array([i for _ in own for i in next(pieces)], np.int32).tobytes(),
-                 sum(len(count(" " + p)) for p in own)) for own in parts]
+        table = {base64.b64decode(k): int(v) for k, v in pairs.items()}
+        self.ranks = tiktoken.Encoding("ranks", pat_str=pattern, special_tokens={},
+                                       mergeable_ranks=table)
+        self.ranks_open = np.zeros(max(table.values()) + 1, bool)
+        self.ranks_open[[v for k, v in table.items() if k.startswith(b" ")]] = True
+        # Of each word, as 32-bit integers in bytes: its number of rank tokens, then its piece ids.
+        self.known: dict[bytes, bytes] = {}
+
+    def _one(self, word: str) -> bytes:
+        parts = [word[i:i + WORD_CHARS] for i in range(0, len(word), WORD_CHARS)]
+        count = sum(len(self.ranks.encode_ordinary(" " + p)) for p in parts)
+        ids = [i for own in self.model.encode(parts, num_threads=1) for i in own]
+        return np.array([count, *ids], np.int32).tobytes()
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        text = " ".join(words)
+        ids = np.array(self.model.encode(text), np.int32)
+        ranked = np.array(self.ranks.encode_ordinary(" " + text), np.int64)
+        cuts = np.flatnonzero(self.opens[ids])
+        counts = np.diff(np.r_[np.flatnonzero(self.ranks_open[ranked]), len(ranked)])
+        if len(cuts) != len(words) or len(counts) != len(words):
+            raise ValueError("a token reaches over a space")
+        raw = np.insert(ids, cuts, counts).astype(np.int32).tobytes()
+        ends = (4 * np.r_[cuts + np.arange(len(cuts)), len(ids) + len(cuts)]).tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words with marks, white space beyond ASCII or many letters are encoded singly."""
+        found, plain, keys = {}, [], []
+        for key in words:
+            word = key.decode()
+            if len(word) <= WORD_CHARS and word.isprintable() and MARK not in word:
+                plain.append(word)
+                keys.append(key)
+            else:
+                found[key] = self._one(word)
+        for at in range(0, len(plain), WORDS_AT_ONCE):
+            found.update(zip(keys[at:at + WORDS_AT_ONCE],
+                             self._each(plain[at:at + WORDS_AT_ONCE])))
+        return found
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Piece ids of all words, how many each has, and the number of rank tokens of each."""
         found = list(map(self.known.get, words))
         if None in found:
-            missing = list({w for w, f in zip(words, found) if f is None})
-            new = dict(zip(missing, self._encoded(missing)))
+            new = self._encoded(list({w for w, f in zip(words, found) if f is None}))
             found = [new[w] if f is None else f for w, f in zip(words, found)]
             if len(self.known) > CACHED_WORDS:
                 self.known = {}
             self.known.update((w, f) for w, f in new.items() if len(w) <= CACHED_BYTES)
-        ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
-        sizes = np.array([len(f[0]) for f in found], np.int64) // 4
-        return ids, sizes, np.array([f[1] for f in found], np.int64)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.int32)
+        heads = np.cumsum(sizes) - sizes
+        return np.delete(flat, heads), sizes - 1, flat[heads].astype(np.int64)
 
 
 @lru_cache(maxsize=2)
