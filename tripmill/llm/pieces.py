@@ -14,6 +14,7 @@ library's unknown mark, control ids as nothing.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Sequence
 from functools import lru_cache
 
@@ -27,8 +28,8 @@ from tripmill.llm.common import batch_of, carried, fields, in_slices, map_batche
 
 MARK = "▁"
 UNKNOWN_TEXT = " ⁇ "
-CACHED_WORDS = 200_000
-CACHED_PAIRS = 200_000
+CACHED_WORDS = 400_000  # in two generations of half as many
+CACHED_PAIRS = 400_000
 CACHED_CHARS = 48
 IDS_AT_ONCE = 1 << 20
 
@@ -62,12 +63,16 @@ class Pieces:
                 if MARK in piece.lstrip(MARK):
                     raise ValueError("a piece holds a space mark behind a letter")
         self.ends = ahocorasick.Automaton()
-        for piece in self.id_of:
-            self.ends.add_word(piece, piece)
+        for piece, i in self.id_of.items():
+            self.ends.add_word(piece, i)
         self.ends.make_automaton()
+        self.sizes = list(map(len, self.piece))
         self.halves: dict[str, tuple[str, str] | None] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+        # Whether a pair of ids stays; the pair is one number. Where nothing stands before, the
+        # first id is the number of pieces, and above that for a letter without a piece.
+        self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
         """Merge letters, best score first and leftmost of equals; also the last pair merged."""
@@ -90,15 +95,14 @@ class Pieces:
             self.halves[piece] = last if len(parts) == 1 else (piece, "")
         return self.halves[piece]
 
-    def compatible(self, before: str, piece: str) -> bool:
-        """Whether the two pieces stay as they are next to each other."""
-        pair = before, piece
-        known = self.fits.get(pair)
-        if known is None:
-            if len(self.fits) > CACHED_PAIRS:
-                self.fits.clear()
-            known = self.fits[pair] = self._stay(before, piece)
-        return known
+    def compatible(self, before: int, piece: int) -> bool:
+        """Whether two pieces, by id, stay as they are next to each other; kept for the next time."""
+        if len(self.fits) >= CACHED_PAIRS:
+            self.fits.clear()
+        many = len(self.piece)
+        left = self.piece[before] if before < many else chr(before - many - 1) if before > many else ""
+        fits = self.fits[before * many + piece] = self._stay(left, self.piece[piece])
+        return fits
 
     def _stay(self, left: str, right: str) -> bool:
         """Undo the merges of both pieces, latest first, and look for one across the border.
@@ -126,34 +130,35 @@ class Pieces:
             else:
                 bound, or_equal, right = self.score[right], True, of_right[0]
 
-    def tokens(self, word: str) -> list[str]:
-        """Pieces of a word in which spaces are marks; letters without a piece stay as they are."""
-        n = len(word)
-        last: list[str] = [""] * n
-        matches: list[list[str]] = [[] for _ in range(n)]
+    def word_ids(self, word: str) -> bytes:
+        """Ids of a word behind a space. Letters without a piece become their bytes' ids."""
+        word = MARK + word.replace(" ", MARK)
+        many, sizes, fits = len(self.piece), self.sizes, self.fits
+        last = [many] * (len(word) + 1)  # by length of the prefix
+        # The automaton reports ends from left to right, and the longest piece of each end first.
         for end, piece in self.ends.iter(word):
-            matches[end].append(piece)
-        for end in range(n):
-            for piece in matches[end]:
-                start = end - len(piece)
-                before = last[start] if start >= 0 else ""
-                if self.compatible(before, piece):
+            end += 1
+            if last[end] == many:
+                start = end - sizes[piece]
+                before = last[start]
+                if before == many and start:
+                    before = last[start] = many + 1 + ord(word[start - 1])
+                fit = fits.get(before * many + piece)
+                if fit is None:
+                    fit = self.compatible(before, piece)
+                if fit:
                     last[end] = piece
-                    break
+        out, end = [], len(word)
+        while end:
+            piece = last[end]
+            if piece < many:
+                out.append(piece)
+                end -= sizes[piece]
             else:
-                last[end] = word[end]
-        out, end = [], n - 1
-        while end >= 0:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
-
-    def word_ids(self, word: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.tokens(MARK + word.replace(" ", MARK)):
-            found = self.id_of.get(piece)
-            ids += [found] if found is not None else [self.byte_ids[b] for b in piece.encode()]
-        return np.array(ids, np.int32).tobytes()
+                end -= 1
+                out += [self.byte_ids[b] for b in reversed(word[end].encode())]
+        out.reverse()
+        return array("i", out).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit integers."""
@@ -167,12 +172,12 @@ class Pieces:
             words = text.split(" ")
         parts = list(map(self.known.get, words))
         if None in parts:
-            if len(self.known) > CACHED_WORDS:
-                self.known.clear()
+            if 2 * len(self.known) > CACHED_WORDS:
+                self.known, self.older = {}, self.known
             for i, part in enumerate(parts):
                 if part is None:
                     word = words[i]
-                    ids = self.known.get(word) or self.word_ids(word)
+                    ids = self.known.get(word) or self.older.get(word) or self.word_ids(word)
                     if len(word) <= CACHED_CHARS:
                         self.known[word] = ids
                     parts[i] = ids
