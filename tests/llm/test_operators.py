@@ -230,7 +230,9 @@ def test_encoders_agree_with_their_libraries(text):
     ids = np.frombuffer(own.encode(text), np.int32).tolist()
     assert ids == library.encode(text) and own.decode(ids) == library.decode(ids)
     words = LIBRARY.setdefault("bpe", WordEncoder(public_tokenizers.path("byte_bpe_50k.json")))
-    assert np.frombuffer(words.encode(text), "<u4").tolist() == words.tokenizer.encode(
+    plain = LIBRARY.setdefault("plain", Tokenizer.from_file(
+        public_tokenizers.path("byte_bpe_50k.json")))
+    assert np.frombuffer(words.encode(text), "<u4").tolist() == plain.encode(
         text, add_special_tokens=False).ids
 
 
@@ -247,6 +249,17 @@ def test_added_tokens_are_encoded_as_by_an_untouched_tokenizer():
 LIBRARY: dict = {}
 
 
+def test_spans_are_spread_over_tasks(spark):
+    """Blocks of a part meet in one task; spans, which have no part, do not."""
+    rows = spark.range(1000).selectExpr(
+        "CAST(null AS int) AS part", "CAST(null AS binary) AS block", "id AS k1", "id AS k2",
+        "id AS start", "id + 1 AS end")
+    def keys(df):
+        return df.select(repeats.spread().alias("k")).distinct().count()
+    assert keys(rows) == 1000
+    assert keys(rows.withColumn("part", F.lit(3))) == 1
+
+
 def test_kneser_ney_rows_are_distributions():
     def counted(text):
         return np.unique(language.ngram_keys(text), return_counts=True)

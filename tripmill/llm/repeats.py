@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tripmill.llm.bloom import (
     BY_SHARD, FILTER_BYTES, Repeated, by_shard, repeated, twice_seen)
@@ -253,10 +253,15 @@ def _context_runs(rows: DataFrame, test: Repeated, splitters: Sequence[bytes]) -
     return rows.select("raw", "k1", "k2").mapInArrow(run, _OUT)
 
 
+def spread() -> Column:
+    """A key that blocks of a part share and spans do not. The hash of a null is not null."""
+    return F.when(F.col("part").isNotNull(), F.xxhash64("part")).otherwise(
+        F.xxhash64("k1", "k2", "start"))
+
+
 def _by_part(runs: DataFrame) -> DataFrame:
     """Blocks of a part together in one task; spans anywhere."""
-    spread = F.coalesce(F.xxhash64("part"), F.xxhash64("k1", "start"))
-    return runs.repartition(spread).sortWithinPartitions("part")
+    return runs.repartition(spread()).sortWithinPartitions("part")
 
 
 def _parts(batches: Iterator[pa.RecordBatch], finish) -> Iterator[pa.RecordBatch]:
