@@ -17,25 +17,28 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tripmill.llm.common import batch_of, staged
+from tripmill.llm.common import batch_of, in_slices, staged
 
 MAGIC = b"TOKSEEK1"
 ENTRY = np.dtype([("place", "<u8"), ("size", "<u4"), ("ids", "<u4"), ("crc", "<u4"),
                   ("named", "<u4"), ("doc_id", "<i8")])
 FOOTER = np.dtype([("place", "<u8"), ("entries", "<u8"), ("crc", "<u4"), ("magic", "S8")])
 LEVEL = 3
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 CACHED_CHARS = 48
+CHARS_AT_ONCE = 4 << 20
+WORDS_AT_ONCE = 1_000
 BATCH_BYTES = 16 << 20
 
 SPACE_SIGN = "Ġ"  # how the vocabulary writes a space
@@ -85,6 +88,26 @@ class WordEncoder:
             return [self._encoded(" " + w) for w in words]
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of words behind a space; each new one is encoded once."""
+        parts = list(map(self.known.get, words))
+        if None in parts:
+            holes = [i for i, p in enumerate(parts) if p is None]
+            missing = {words[i] for i in holes}
+            found = {w: self.older[w] for w in missing & self.older.keys()}
+            new = list(missing - found.keys())
+            for at in range(0, len(new), WORDS_AT_ONCE):
+                some = new[at:at + WORDS_AT_ONCE]
+                found.update(zip(some, self._each(some)))
+            for i in holes:
+                parts[i] = found[words[i]]
+            if len(self.known) > CACHED_WORDS:
+                self.known, self.older = {}, self.known
+            if max(map(len, found)) > CACHED_CHARS:
+                found = {w: p for w, p in found.items() if len(w) <= CACHED_CHARS}
+            self.known.update(found)
+        return parts
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
@@ -97,17 +120,39 @@ class WordEncoder:
             first, words = " " + words[0], words[1:]
         # Only the last word can end in white space, which would run into the next one.
         last = " " + words.pop() if words and words[-1][-1:].isspace() else ""
-        parts = list(map(self.known.get, words))
-        if None in parts:
-            missing = {w for w, p in zip(words, parts) if p is None}
-            found = {w: self.older[w] for w in missing & self.older.keys()}
-            new = list(missing - found.keys())
-            found.update(zip(new, self._each(new)))
-            parts = [found[w] if p is None else p for w, p in zip(words, parts)]
-            if len(self.known) > CACHED_WORDS:
-                self.known, self.older = {}, self.known
-            self.known.update((w, p) for w, p in found.items() if len(w) <= CACHED_CHARS)
-        return b"".join([self._encoded(first), *parts, self._encoded(last)])
+        return b"".join([self._encoded(first), *self._known(words), self._encoded(last)])
+
+    def _is_plain(self, text: str) -> bool:
+        """Whether each space of a text stands alone between two words."""
+        return bool(text) and not text[0].isspace() and not text[-1].isspace() \
+            and not _SPACE_RUN.search(text) and not any(t in text for t in self.added)
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts: their distinct words are looked up, then put together by number."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        flat = split.flatten().dictionary_encode()
+        bounds = split.offsets.to_numpy()
+        own = self._known(flat.dictionary.to_pylist())
+        which = flat.indices.to_numpy().astype(np.int64)
+        # The first word of a text has no space before it.
+        which[bounds[:-1]] = len(own) + np.arange(len(texts))
+        own += [self._encoded(t.partition(" ")[0]) for t in texts]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        ids = np.frombuffer(b"".join(own), "<u4")
+        size = sizes[which]
+        ends = np.cumsum(size)
+        places = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - size), size)
+        raw = ids[places + np.arange(len(places))].tobytes()
+        cuts = (4 * np.r_[0, ends][bounds]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode_all(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """Ids of each text; ``CHARS_AT_ONCE`` letters of plain texts are taken together."""
+        for part in in_slices([len(t) for t in texts], CHARS_AT_ONCE):
+            plain = [self._is_plain(t) for t in texts[part]]
+            found = iter(self._plain([t for t, p in zip(texts[part], plain) if p]))
+            for text, is_plain in zip(texts[part], plain):
+                yield next(found) if is_plain else self.encode(text)
 
 
 @lru_cache(maxsize=2)
@@ -196,11 +241,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
         task, out = TaskContext.get(), None
         number, total = task.partitionId(), 0
         path = f"{folder}/tokens-{number:06d}.tok"
-        encode = encoder(tokenizer).encode
+        encode_all = encoder(tokenizer).encode_all
         for batch in batches:
-            for i, value in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for i, ids in zip(batch.column(0).to_pylist(), encode_all(texts)):
                 out = out or Writer(path, str(task.taskAttemptId()))
-                ids = encode(value or "") + end
+                ids += end
                 out.add(i, ids)
                 total += len(ids) // 4
         if out:
