@@ -28,8 +28,8 @@ from tripmill.llm.common import batch_of, carried, fields, in_slices, map_batche
 
 MARK = "▁"
 UNKNOWN_TEXT = " ⁇ "
-CACHED_WORDS = 400_000  # in two generations of half as many
-CACHED_PAIRS = 400_000
+CACHED_WORDS = 120_000  # in two generations of half as many
+CACHED_PAIRS = 240_000
 CACHED_CHARS = 48
 IDS_AT_ONCE = 1 << 20
 
