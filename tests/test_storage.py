@@ -262,6 +262,60 @@ def test_clustered_table_prunes_buckets(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
 
 
+def bytes_read(df):
+    """Bytes taken from local files, and the rows found; vectored reads would not be counted."""
+    spark = df.sparkSession
+    counters = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics()
+    before = counters.get("file").getLong("bytesRead")
+    spark.conf.set("parquet.hadoop.vectored.io.enabled", "false")
+    try:
+        found = df.collect()
+    finally:
+        spark.conf.unset("parquet.hadoop.vectored.io.enabled")
+    return counters.get("file").getLong("bytesRead") - before, len(found)
+
+
+def test_ranges_of_the_cluster_key_lower_the_bytes_read(spark, tmp_path):
+    df = spark.range(120_000).select(
+        "id", F.expr("if(id % 7 = 6, null, id % 7)").alias("k"),
+        F.expr("timestamp'2020-01-01' + make_interval(0, 0, 0, id % 2)").alias("ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("note"))
+    plain, ranged = table_name("by_day"), table_name("ranged")
+    tables.create_partitioned(df, plain, str(tmp_path / plain), "ts", "day")
+    tables.create_ranged(df, ranged, str(tmp_path / ranged), "ts", "k", "day")
+    assert spark.table(ranged).columns == spark.table(plain).columns
+    assert spark.table(ranged).exceptAll(spark.table(plain)).isEmpty()
+    assert spark.table(plain).exceptAll(spark.table(ranged)).isEmpty()
+    for where, rows in (("k = 2", 17_142), ("k >= 5", 17_142), ("k is null", 17_142)):
+        query = f"day = date'2020-01-01' and {where}"
+        whole, n = bytes_read(spark.table(plain).where(query).select("note"))
+        some, m = bytes_read(spark.table(ranged).where(query).select("note"))
+        assert n == m and abs(n - rows / 2) < 2
+        assert some < 0.4 * whole
+
+
+def test_a_hot_pair_and_copies_are_split_over_tasks(spark, tmp_path):
+    name = table_name("ranged")
+    copies = spark.range(0, 40_000, 1, 8).select(
+        F.lit(1).alias("k"), F.lit("x").alias("note"), F.map_from_arrays(
+            F.array(F.lit("a")), F.array(F.lit(1))).alias("tags"),
+        F.expr("timestamp'2020-01-01'").alias("ts"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = tables.create_ranged(copies, name, str(tmp_path / name), "ts", "k", "day")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert stored.count() == 40_000
+    by_file = [r[1] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(by_file) >= 4 and max(by_file) <= 20_000
+
+
+def test_ranges_of_an_empty_table(spark, tmp_path):
+    name = table_name("ranged")
+    empty = spark.createDataFrame([], "id long, k int, ts timestamp")
+    assert tables.create_ranged(empty, name, str(tmp_path / name), "ts", "k", "day").count() == 0
+
+
 def test_swap_may_read_its_own_table(spark, tmp_path, rows):
     name = table_name("s")
     tables.create_as(spark.range(4), name, str(tmp_path / name))

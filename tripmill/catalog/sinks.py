@@ -85,9 +85,9 @@ def snk_partitioned(spark, d):
 @query("snk_partitioned_clustered", """
 SELECT pickup_date, VendorID, count(*) AS trips FROM recent_trips GROUP BY 1, 2""")
 def snk_partitioned_clustered(spark, d):
-    stored = tables.create_clustered(
+    stored = tables.create_ranged(
         adapters.recent_trips(spark, d).drop("pickup_date"), table_name("by_day_vendor"),
-        workspace(spark, "by-day-vendor"), "pickup_datetime", "VendorID", 4)
+        workspace(spark, "by-day-vendor"), "pickup_datetime", "VendorID")
     return stored.groupBy("pickup_date", "VendorID").agg(F.count(F.lit(1)).alias("trips"))
 
 
