@@ -345,3 +345,24 @@ def test_pipeline_stages_agree_with_plain_versions(spark, odd_tables):
 
 def test_pipeline_of_nothing(spark, write):
     assert corpus_pipeline.run(spark, write()).collect() == []
+
+
+def test_a_partition_gives_arrow_memory_back(monkeypatch):
+    """Reused Python workers kept the pool's freed buffers between tasks and stages."""
+    import pyarrow as pa
+
+    from tripmill.llm import common
+
+    pool = pa.default_memory_pool()
+    calls = []
+
+    class Spy:
+        def release_unused(self):
+            calls.append(True)
+            pool.release_unused()
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: Spy())
+    batch = pa.RecordBatch.from_pydict({"x": list(range(1000))})
+    run = common.released(lambda batches: (b.slice(0, 10) for b in batches))
+    out = list(run(iter([batch, batch])))
+    assert [b.num_rows for b in out] == [10, 10] and calls == [True]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from tripmill.llm.common import batch_of
+from tripmill.llm.common import batch_of, released
 
 SHARDS = 512
 FILTER_BYTES = 64 << 20
@@ -117,7 +117,7 @@ def twice_seen(sent: DataFrame) -> DataFrame:
             yield batch_of(shard=pa.array(list(twice), pa.int32()),
                            filter=pa.array([b.to_bytes() for b in twice.values()], pa.binary()),
                            n=pa.array(list(added.values()), pa.int64()))
-    return sent.repartition("shard").mapInArrow(fill, "shard int, filter binary, n bigint")
+    return sent.repartition("shard").mapInArrow(released(fill), "shard int, filter binary, n bigint")
 
 
 class Repeated:

@@ -56,6 +56,21 @@ def fields(df: DataFrame, names: Sequence[str], more: str = "") -> T.StructType:
                         + (T.StructType.fromDDL(more).fields if more else []))
 
 
+def released(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+             ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``fn`` over a partition; then Arrow's pool gives the memory of freed buffers back.
+
+    Python workers are reused for later tasks and stages, and the pool would keep the largest
+    batches a worker ever held for the rest of the session.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str | T.StructType) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +78,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def batch_of(**columns: pa.Array | Iterable) -> pa.RecordBatch:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tripmill.llm.common import batch_of, carried, fields, in_slices, map_batches, staged
+from tripmill.llm.common import batch_of, carried, fields, in_slices, map_batches, released, staged
 
 WINDOW = 10
 SHINGLE = 3
@@ -166,7 +166,7 @@ def _shingle_counts(docs: DataFrame, index: Index) -> dict[int, np.ndarray]:
             yield batch_of(size=pa.array(np.full(len(at), size), pa.int32()),
                            token=pa.array(at, pa.int64()), n=pa.array(n[at], pa.int64()))
 
-    rows = (docs.mapInArrow(count, "size int, token bigint, n bigint")
+    rows = (docs.mapInArrow(released(count), "size int, token bigint, n bigint")
             .groupBy("size", "token").agg(F.sum("n").alias("n")).collect())
     counts = {s: np.zeros(len(t), np.int64) for s, t in index.tokens.items()}
     for size, token, n in rows:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tripmill.llm.bloom import (
     BY_SHARD, FILTER_BYTES, Repeated, by_shard, repeated, twice_seen)
-from tripmill.llm.common import SPACES, batch_of, carried, fields, map_batches, staged
+from tripmill.llm.common import SPACES, batch_of, carried, fields, map_batches, released, staged
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -73,7 +73,7 @@ def seen_lines(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
                 seen.clear()
         if seen:
             yield flush()
-    return docs.select(F.col(text).cast("binary")).mapInArrow(gather, BY_SHARD)
+    return docs.select(F.col(text).cast("binary")).mapInArrow(released(gather), BY_SHARD)
 
 
 def _suspects(texts: list[bytes | None], min_chars: int, test: Repeated) -> list[list[bytes]]:
@@ -116,7 +116,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield flush()
 
     id_kind = rows.schema["id"].dataType.simpleString()
-    often = (rows.select("id", "raw").mapInArrow(counts, f"key binary, n bigint, last {id_kind}")
+    often = (rows.select("id", "raw").mapInArrow(released(counts), f"key binary, n bigint, last {id_kind}")
              .groupBy("key").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
              .where(F.col("n") >= min_docs).select("key", "last"))
     # Stored, so that the join below reads both sides anew and Spark can split a hot key.

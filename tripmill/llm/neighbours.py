@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tripmill.llm.common import batch_of, map_batches, staged
+from tripmill.llm.common import batch_of, map_batches, released, staged
 
 DEGREE = 20
 REVERSE = 20
@@ -165,7 +165,7 @@ def _kept(candidates: DataFrame, degree: int) -> DataFrame:
         if held and len(held[0]):
             yield _edge_batch(*_closest(*held[:3], degree, held[3]))
     return (candidates.repartition("node").sortWithinPartitions("node")
-            .mapInArrow(run, _EDGES))
+            .mapInArrow(released(run), _EDGES))
 
 
 def _tree_edges(nodes: DataFrame, kind: str, tree: int, bits: int) -> DataFrame:
@@ -196,7 +196,7 @@ def _tree_edges(nodes: DataFrame, kind: str, tree: int, bits: int) -> DataFrame:
     coded = map_batches(nodes.select("node", "raw"), code,
                         "code bigint, along double, node bigint, raw binary")
     return (coded.repartitionByRange("code", "along", "node")
-            .sortWithinPartitions("code", "along", "node").mapInArrow(compare, _EDGES))
+            .sortWithinPartitions("code", "along", "node").mapInArrow(released(compare), _EDGES))
 
 
 def _proposals(edges: DataFrame, nodes: DataFrame, kind: str, turn: int) -> DataFrame:
@@ -248,7 +248,7 @@ def _proposals(edges: DataFrame, nodes: DataFrame, kind: str, turn: int) -> Data
         if size:
             yield flush()
 
-    return met.repartition("centre").sortWithinPartitions("centre").mapInArrow(run, _EDGES)
+    return met.repartition("centre").sortWithinPartitions("centre").mapInArrow(released(run), _EDGES)
 
 
 def build_graph(nodes: DataFrame, kind: str, rounds: int = ROUNDS) -> DataFrame:
@@ -279,7 +279,7 @@ def adjacency(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _by_query(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
-    return rows.repartition("query").sortWithinPartitions("query").mapInArrow(run, schema)
+    return rows.repartition("query").sortWithinPartitions("query").mapInArrow(released(run), schema)
 
 
 def search(queries: DataFrame, near: DataFrame, nodes: DataFrame, kind: str,

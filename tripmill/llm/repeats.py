@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tripmill.llm.bloom import (
     BY_SHARD, FILTER_BYTES, Repeated, by_shard, repeated, twice_seen)
-from tripmill.llm.common import batch_of, carried, fields, in_slices, map_batches, staged
+from tripmill.llm.common import batch_of, carried, fields, in_slices, map_batches, released, staged
 from tripmill.llm.runs import Run, cut, merge, pack, shared
 
 SPAN = 200
@@ -181,7 +181,7 @@ def _seen_anchors(rows: DataFrame) -> DataFrame:
                 size = 0
         if size:
             yield from flush()
-    return rows.select("raw").mapInArrow(gather, BY_SHARD)
+    return rows.select("raw").mapInArrow(released(gather), BY_SHARD)
 
 
 def _splitters(sample: list[bytes], parts: int) -> list[bytes]:
@@ -250,7 +250,7 @@ def _context_runs(rows: DataFrame, test: Repeated, splitters: Sequence[bytes]) -
             number += batch.num_rows
         if entries:
             yield from flush()
-    return rows.select("raw", "k1", "k2").mapInArrow(run, _OUT)
+    return rows.select("raw", "k1", "k2").mapInArrow(released(run), _OUT)
 
 
 def spread() -> Column:
@@ -314,7 +314,7 @@ def _merged_contexts(runs: DataFrame) -> DataFrame:
 
     def run(batches):
         return _parts(batches, finish)
-    return _by_part(runs).mapInArrow(run, _OUT)
+    return _by_part(runs).mapInArrow(released(run), _OUT)
 
 
 def _walk(known: Sequence[int], entering: Sequence[int]) -> Iterator[list[int]]:
@@ -439,7 +439,7 @@ def _suffix_runs(contexts: DataFrame, edges: dict, splitters: Sequence[bytes]) -
                 if found:
                     yield found
                 yield from _packed([texts[i] for i in new], kept[new], splitters)
-    return contexts.mapInArrow(run, _OUT)
+    return contexts.mapInArrow(released(run), _OUT)
 
 
 class _Neighbour:
@@ -497,7 +497,7 @@ def _matches(runs: DataFrame) -> DataFrame:
 
     def run(batches):
         return _parts(batches, finish)
-    return _by_part(runs).mapInArrow(run, _OUT)
+    return _by_part(runs).mapInArrow(released(run), _OUT)
 
 
 def _two_places(order: Iterable[int], places: list) -> list[int]:

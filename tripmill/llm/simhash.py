@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripmill.llm.common import batch_of, carried, fields, map_batches, staged
+from tripmill.llm.common import batch_of, carried, fields, map_batches, released, staged
 from tripmill.llm.components import components
 
 SEED = 42
@@ -195,7 +195,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, full: int = FULL_BUCKET
             yield pairs(*held)
 
     met = entries.repartition("key", "sub").sortWithinPartitions("key", "sub")
-    return met.mapInArrow(run, "a bigint, b bigint").where("a != b").distinct()
+    return met.mapInArrow(released(run), "a bigint, b bigint").where("a != b").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -28,7 +28,7 @@ from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tripmill.llm.common import batch_of, in_slices, staged
+from tripmill.llm.common import batch_of, in_slices, released, staged
 
 MAGIC = b"TOKSEEK1"
 ENTRY = np.dtype([("place", "<u8"), ("size", "<u4"), ("ids", "<u4"), ("crc", "<u4"),
@@ -281,7 +281,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
             .withColumn("salt", F.xxhash64("text")))
     ordered = (rows.repartitionByRange("id", "salt").sortWithinPartitions("id", "salt")
                .select("id", "text"))
-    return staged(ordered.mapInArrow(write, "number int, path string, docs bigint, ids bigint"),
+    return staged(ordered.mapInArrow(released(write), "number int, path string, docs bigint, ids bigint"),
                   "token-files")
 
 
@@ -319,4 +319,4 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
     # One file a task: round-robin over as many partitions.
     return rows.repartition(max(1, len(listed))).mapInArrow(
-        read, "id bigint, start bigint, ids binary")
+        released(read), "id bigint, start bigint, ids binary")

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tripmill.llm.common import batch_of, carried, fields, map_batches, staged
+from tripmill.llm.common import batch_of, carried, fields, map_batches, released, staged
 
 PREFIXES = (4, 5, 6)
 GRADES = 3
@@ -134,7 +134,7 @@ def _choose(sample: DataFrame) -> tuple[dict[str, int], Counter]:
                 yield from flush()
         yield from flush()
 
-    counts = (sample.mapInArrow(count, "feature string, label int, n bigint").groupBy("feature")
+    counts = (sample.mapInArrow(released(count), "feature string, label int, n bigint").groupBy("feature")
               .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
                    F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean")))
     counts = staged(counts, "features")

@@ -33,7 +33,7 @@ from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tripmill.llm.common import carried, fields, staged
+from tripmill.llm.common import carried, fields, released, staged
 
 BLOCK_ENTRIES = 1 << 17
 BLOCKS_A_TASK = 8
@@ -84,7 +84,7 @@ def _sums(distinct: DataFrame) -> DataFrame:
                 "dim": pa.array([dim] * dim, pa.int32()), "at": pa.array(range(dim), pa.int32()),
                 "total": pa.array([Decimal(v) for v in total], pa.decimal128(38, 0)),
                 "n": pa.array([counts[dim]] * dim, pa.int64())})
-    sent = distinct.select("x").mapInArrow(run, f"dim int, at int, total {EXACT}, n bigint")
+    sent = distinct.select("x").mapInArrow(released(run), f"dim int, at int, total {EXACT}, n bigint")
     return sent.groupBy("dim", "at").agg(F.sum("total").cast(EXACT).alias("total"),
                                          F.sum("n").alias("n"))
 
@@ -127,7 +127,7 @@ def _centred(rows: DataFrame, n: int, sums: list[int], keep: Sequence[str]) -> D
                 "deviation": pa.array([Decimal(int(v)) for v in squares], pa.decimal128(38, 0)),
                 "row": pa.ListArray.from_arrays(
                     pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), centred.ravel())})
-    return rows.mapInArrow(run, fields(rows, keep, f"deviation {EXACT}, row array<double>"))
+    return rows.mapInArrow(released(run), fields(rows, keep, f"deviation {EXACT}, row array<double>"))
 
 
 def _blocks(rows: DataFrame, dim: int) -> BlockMatrix:
@@ -192,7 +192,7 @@ def identity_error(projected: DataFrame) -> float:
                 yield pa.RecordBatch.from_pydict({
                     "at": pa.array(range(len(total)), pa.int32()), "total": total,
                     "n": pa.array([n] * len(total), pa.int64())})
-        return (of.mapInArrow(run, "at int, total double, n bigint")
+        return (of.mapInArrow(released(run), "at int, total double, n bigint")
                 .groupBy("at").agg((F.sum("total") / F.sum("n")).alias("mean")).orderBy("at"))
 
     whitened = projected.select("whitened")
