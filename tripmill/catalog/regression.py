@@ -189,7 +189,7 @@ def ml_tune(spark, d):
     """Rows of each side and trials; the error of the trial that leaves only the mean, which SQL can
     tell; and whether the model kept has the least error of all when it is scored again."""
     found = _prepared(spark, d)
-    tuned = reg.tune(found.every(), grid=[*reg.trials(), _OVERWHELMING])
+    tuned = reg.tune(found.every(), grid=[*reg.trials(), _OVERWHELMING], dealt=found)
     again = reg.evaluate_with(reg.predict(tuned.best, found.evaluation()), "mse")
     return found.rows.agg(
         F.count_if(~F.col("is_eval")).alias("n_training"),

@@ -359,15 +359,20 @@ class Tuning:
 
 def tune(rows: DataFrame, n: int = 5, parallel: int = 2, seed: int = 42,
          grid: Sequence[tuple[float, float]] | None = None,
-         held_out: float = HELD_OUT) -> Tuning:
+         held_out: float = HELD_OUT, dealt: Prepared | None = None) -> Tuning:
     """Try ``n`` penalties, ``parallel`` at a time, and keep the model with the least error.
 
     The digest split decides the sides. Categories and missing numbers are learned from the training
-    side alone, and its rows are encoded once.
+    side alone, and its rows are encoded once. With ``dealt``, the prepared rows of ``rows``, their
+    stored sides and the encoding of their model are used instead of dealing and encoding again.
     """
     tried = list(grid or trials(n, seed))
-    training, evaluation = sides(rows, held_out)
-    encoding = encode(training)
+    if dealt is None:
+        training, evaluation = sides(rows, held_out)
+        encoding = encode(training)
+    else:
+        training, evaluation = dealt.training(), dealt.evaluation()
+        encoding = PipelineModel(dealt.model.stages[:-1])
     encoded = [encoding.transform(filled(side)).select("features", LABEL).persist()
                for side in (training, evaluation)]
     scorer = RegressionEvaluator(labelCol=LABEL, metricName="mse")
